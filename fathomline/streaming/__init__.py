@@ -1,0 +1 @@
+"""Empty on purpose: every job of this library is a batch job, so there is no stream to define."""
