@@ -56,3 +56,14 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def columns_with_prefix(df: DataFrame, prefix: str) -> list[str]:
     return [name for name in df.columns if name.startswith(prefix)]
+
+
+def explode_computed(df: DataFrame, array: Column, name: str, position: str | None = None) -> DataFrame:
+    """One row per element of a computed array; the other columns stay.
+
+    A plain explode makes the optimizer add a `size(array) > 0` filter below it, which computes the array a
+    second time; the outer form with a filter on its output does not.
+    """
+    if position is None:
+        return df.select("*", F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())
+    return df.select("*", F.posexplode_outer(array).alias(position, name)).filter(F.col(position).isNotNull())

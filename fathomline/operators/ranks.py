@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from fathomline.functions.hashing import range_of
 
-VALUE_RANGES = 1024
+ROWS_PER_RANGE = 100_000
+MAX_VALUE_RANGES = 4096
 HASH_DIGITS = 4
 
 
@@ -33,16 +34,20 @@ def _add_running(df: DataFrame, keys: list[str], slot: str, order: list[str], me
                                for m in measures}).drop(slot)
 
 
-def running_by_value(counts: DataFrame, keys: list[str], value: str, measures: list[str]) -> DataFrame:
+def running_by_value(counts: DataFrame, keys: list[str], value: str, measures: list[str],
+                     rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Exclusive running sums of `measures` in order of a numeric value.
 
     `counts` holds one row per (keys, value). The range limits are quantiles of the values, so ranges stay
     even under skewed values; where exactly they fall has no effect on the result.
     """
     counts = counts.persist()
-    limits = counts.approxQuantile(value, [i / VALUE_RANGES for i in range(1, VALUE_RANGES)], 0.25 / VALUE_RANGES)
+    ranges = min(MAX_VALUE_RANGES, 1 + counts.count() // rows_per_range)
+    limits = [] if ranges == 1 else counts.approxQuantile(
+        value, [i / ranges for i in range(1, ranges)], 0.25 / ranges)
     splits = [-float("inf"), *sorted(set(limits)), float("inf")]
-    slotted = Bucketizer(splits=splits, inputCol=value, outputCol="value_range").transform(counts)
+    slotted = Bucketizer(splits=splits, inputCol=value, outputCol="value_range").transform(counts) \
+        if limits else counts.withColumn("value_range", F.lit(0.0))
     return _add_running(slotted, keys, "value_range", [value], measures)
 
 

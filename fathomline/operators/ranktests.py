@@ -90,11 +90,14 @@ def _exact_signed_rank_p(doubled_ranks: Column, doubled_plus: Column) -> Column:
 def signed_rank(pairs: DataFrame, by: list[str], first: str, second: str) -> DataFrame:
     """Two-sided Wilcoxon test of paired scores, zeros dropped; exact for up to 50 non-zero differences."""
     gap = F.round(F.col(first) - F.col(second), DIFFERENCE_DIGITS)
-    gaps = pairs.select(*by, gap.alias("gap"))
-    means = gaps.groupBy(*by).agg(F.avg("gap").alias("diff_mean"), F.count(F.when(F.col("gap") != 0, 1)).alias("n"))
-    counts = (gaps.filter(F.col("gap") != 0).groupBy(*by, F.abs("gap").alias("size"))
-              .agg(F.count(F.lit(1)).alias("same"), F.count(F.when(F.col("gap") > 0, 1)).alias("positive")))
-    running = running_by_value(counts, by, "size", ["same"])
+    counts = (pairs.select(*by, gap.alias("gap")).filter(F.col("gap").isNotNull())
+              .groupBy(*by, F.abs("gap").alias("size"))
+              .agg(F.count(F.lit(1)).alias("same"), F.count(F.when(F.col("gap") > 0, 1)).alias("positive"))).persist()
+    negative = F.col("same") - F.col("positive")
+    means = counts.groupBy(*by).agg(
+        (F.sum(F.col("size") * (F.col("positive") - negative)) / F.sum("same")).alias("diff_mean"),
+        F.sum(F.when(F.col("size") > 0, F.col("same")).otherwise(0)).alias("n"))
+    running = running_by_value(counts.filter(F.col("size") > 0), by, "size", ["same"])
     ranked = running.withColumn("doubled_rank", 2 * F.col("same_before") + F.col("same") + 1)
     ranked = ranked.join(means.select(*by, "n"), by)
     same = F.col("same").cast("double")

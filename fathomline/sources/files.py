@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fathomline.functions.columns import nan_to_null
+from fathomline.functions.columns import explode_computed, nan_to_null
 
 DAILY_SCHEMA = "city string, date date, pm25 double, pm10 double, `group` string"
 WEATHER_SCHEMA = "city string, date date, tmean double, tmax double, tmin double, precip double"
@@ -37,7 +37,7 @@ def read_responses(spark: SparkSession, path: str) -> DataFrame:
 def hourly_rows(responses: DataFrame) -> DataFrame:
     """One row per hour from documents holding parallel arrays."""
     zipped = F.arrays_zip("hourly.time", "hourly.pm2_5", "hourly.pm10")
-    return (responses.select("city", F.explode(zipped).alias("h"))
+    return (explode_computed(responses.select("city", zipped.alias("hours")), F.col("hours"), "h")
             .select("city", F.to_timestamp_ntz("h.time").alias("time"),
                     F.col("h.pm2_5").alias("pm25"), F.col("h.pm10").alias("pm10"))
             .transform(nan_to_null))
