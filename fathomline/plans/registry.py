@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from fathomline.plans import experiments, rollups, texts
+from fathomline.plans import experiments, rollups, searches, texts
 
-_MODULES = (rollups, experiments, texts)
+_MODULES = (rollups, experiments, texts, searches)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}

@@ -66,8 +66,8 @@ def with_views(*views: str) -> str:
 
 
 def tokens_sql(text: str) -> str:
-    """Tokens of a text without Han characters (the driver tables hold none)."""
-    return f"regexp_extract_all(lower({text}), '[a-z0-9]+')"
+    """Tokens of a text whose only Han run is the section name of an opening (the driver tables hold none)."""
+    return f"regexp_extract_all(lower({text}), '[a-z0-9]+|简介')"
 
 
 def _polynomial(coefficients: list[float], x: str) -> str:

@@ -34,3 +34,8 @@ def collect_bounded(df: DataFrame, limit: int, what: str) -> list:
     if len(rows) > limit:
         raise ValueError(f"{what}: more than {limit} rows, too many to hold on the driver")
     return rows
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    """Partition count the cluster was sized for; naming it keeps small but costly stages from being merged."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
