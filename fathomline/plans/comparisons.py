@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomline.operators import evaluation, folds, neighbours
+from fathomline.operators import evaluation, folds, models, neighbours
 from fathomline.plans import views
 from fathomline.sources import tables
 
@@ -31,17 +31,9 @@ def plain_folds(spark: SparkSession, folder: str) -> DataFrame:
     return folds.plain_folds(orders, ["o_orderkey"])
 
 
-def fold_scenarios(features: DataFrame, placed: DataFrame) -> DataFrame:
-    """Every row once per (repeat, held-out fold), marked test or train."""
-    every = placed.select("row_id", "repeat", F.col("fold").alias("own"),
-                          F.explode(F.sequence(F.lit(0), F.lit(folds.FOLDS - 1))).alias("fold"))
-    return every.select("row_id", "repeat", "fold", (F.col("own") == F.col("fold")).alias("is_test")).join(
-        features, "row_id")
-
-
 def knn_predictions(spark: SparkSession, folder: str, k: int = neighbours.NEIGHBOURS) -> DataFrame:
     features = tables.embedding_features(spark, folder)
-    return neighbours.knn_predict(fold_scenarios(features, folds.stratified_folds(features)), ["repeat", "fold"], k)
+    return neighbours.knn_predict(models.fold_scenarios(features, folds.stratified_folds(features)), ["repeat", "fold"], k)
 
 
 def knn_cv_accuracy(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,21 +81,9 @@ def boxplot_stats(spark: SparkSession, folder: str) -> DataFrame:
         {c: F.round(c, 6) for c in ("q1", "median", "q3", "low", "high")})
 
 
-def learning_scenarios(features: DataFrame, fractions: list[float], seeds: list[int]) -> DataFrame:
-    """Train subsamples of a fixed stratified hold-out, with the hold-out as the test set of every scenario."""
-    split = folds.holdout_split(features)
-    chosen = folds.stratified_subsamples(split.filter(~F.col("is_test")), fractions, seeds).select(
-        "row_id", "fraction", "seed", F.lit(False).alias("is_test"))
-    scenario = F.explode(F.array(*[F.struct(F.lit(float(f)).alias("fraction"), F.lit(s).alias("seed"))
-                                   for f in fractions for s in seeds])).alias("s")
-    tested = split.filter("is_test").select("row_id", scenario).select(
-        "row_id", "s.fraction", "s.seed", F.lit(True).alias("is_test"))
-    return chosen.unionByName(tested).join(features, "row_id")
-
-
 def knn_curve(spark: SparkSession, folder: str, fractions=FRACTIONS, seeds=SEEDS) -> DataFrame:
     features = tables.embedding_features(spark, folder)
-    rows = learning_scenarios(features, fractions, seeds)
+    rows = models.curve_scenarios(features, fractions, seeds)
     sizes = rows.filter(~F.col("is_test")).groupBy("fraction", "seed").agg(F.count(F.lit(1)).alias("size"))
     predicted = neighbours.knn_predict(rows, ["fraction", "seed"])
     scores = evaluation.accuracy(predicted, ["fraction", "seed"]).join(sizes, ["fraction", "seed"])
