@@ -38,6 +38,10 @@ FOREST_DEPTH = 20
 FOURIER_FEATURES = 256
 KNN = "KNN"
 FITS_AT_ONCE = 8
+# Optimisers stop when a step changes the loss by less than this share.
+TOLERANCE = 1e-4
+# Train rows per task: every optimiser step is a job, so small tables must not be spread over many tasks.
+ROWS_PER_TASK = 20_000
 
 
 class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -80,12 +84,13 @@ def classifiers(trees: int = BENCH_TREES, rounds: int = BOOST_ROUNDS) -> dict[st
     """Model name to a builder (train rows, features, classes) -> estimator; the neighbour model has no fit."""
     def logistic(n: int, width: int, classes: int) -> Estimator:
         return Pipeline(stages=[*_scaler(n, width), LogisticRegression(
-            featuresCol="scaled", maxIter=MAX_ITERATIONS, regParam=1 / n, standardization=False)])
+            featuresCol="scaled", maxIter=MAX_ITERATIONS, regParam=1 / n, standardization=False,
+            tol=TOLERANCE)])
 
     def kernel(n: int, width: int, classes: int) -> Estimator:
         return Pipeline(stages=[*_scaler(n, width), RandomFourierFeatures(
             inputCol="scaled", outputCol="fourier", width=width, gamma=1 / width), _one_per_class(
-                LinearSVC(featuresCol="fourier", regParam=1 / n, standardization=False, maxIter=200), classes)])
+                LinearSVC(featuresCol="fourier", regParam=1 / n, standardization=False, tol=TOLERANCE), classes)])
 
     def forest(n: int, width: int, classes: int) -> Estimator:
         return RandomForestClassifier(featuresCol="vector", numTrees=trees, maxDepth=FOREST_DEPTH,
@@ -125,7 +130,7 @@ def scenario_scores(rows: DataFrame, scenario: list[str], models: dict[str, Call
             of_scenario = F.lit(True)
             for column in scenario:
                 of_scenario = of_scenario & (F.col(column) == F.lit(shape[column]))
-            part = rows.filter(of_scenario)
+            part = rows.filter(of_scenario).coalesce(1 + shape["n"] // ROWS_PER_TASK)
             estimator = models[name](shape["n"], shape["width"], max(2, shape["classes"]))
             fitted = estimator.fit(part.filter(~F.col("is_test")).select("label", "vector"))
             predicted = fitted.transform(part.filter("is_test").select("label", "vector"))
@@ -185,6 +190,7 @@ def holdout_best(features: DataFrame, models: dict[str, Callable | None], datase
     train = rows.filter(~F.col("is_test"))
     shape = train.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("width"),
                       F.count_distinct("label").alias("classes")).first()
+    train = train.coalesce(1 + shape["n"] // ROWS_PER_TASK)
     fitted = models[best](shape["n"], shape["width"], max(2, shape["classes"])).fit(train)
     return fitted.transform(rows.filter("is_test")).select(
         "row_id", F.lit(best).alias("model"), F.col("label").cast("int").alias("label"),
@@ -235,18 +241,19 @@ def out_of_fold(rows: DataFrame, models: dict[str, tuple[str, Estimator]]) -> Da
     predictions need no join back to their rows.
     """
     rows = rows.persist()
-    n_folds = [r["fold"] for r in rows.select("fold").distinct().collect()]
+    sizes = {r["fold"]: r["count"] for r in rows.groupBy("fold").count().collect()}
+    tasks_per_fit = 1 + sum(sizes.values()) // ROWS_PER_TASK
 
     def fit_one(name: str, fold: int) -> Callable:
         def run() -> DataFrame:
             column, estimator = models[name]
             named = estimator.copy({estimator.featuresCol: column, estimator.labelCol: "target"})
-            fitted = named.fit(rows.filter(F.col("fold") != fold))
+            fitted = named.fit(rows.filter(F.col("fold") != fold).coalesce(tasks_per_fit))
             return fitted.transform(rows.filter(F.col("fold") == fold)).select(
                 F.lit(name).alias("model"), "city", "ym", "target", "prediction")
         return run
 
-    parts = in_parallel([fit_one(name, fold) for name in models for fold in sorted(n_folds)], rows.sparkSession)
+    parts = in_parallel([fit_one(name, fold) for name in models for fold in sorted(sizes)], rows.sparkSession)
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
