@@ -30,7 +30,7 @@ PACK_ROWS = 1024
 DISTANCE_DIGITS = 9
 # Relative and absolute allowance on every bound: covers rounding, so that no neighbour is ruled out.
 SLACK = 1e-9
-MAX_SCENARIOS = 10_000
+MAX_SCENARIOS = 1_000
 ELEMENTS_AT_ONCE = 1_000_000
 
 

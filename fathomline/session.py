@@ -39,3 +39,12 @@ def collect_bounded(df: DataFrame, limit: int, what: str) -> list:
 def shuffle_partitions(spark: SparkSession) -> int:
     """Partition count the cluster was sized for; naming it keeps small but costly stages from being merged."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread_out(scan: DataFrame) -> DataFrame:
+    """Give every core a share of a scan with fewer splits than cores (a few files that cannot be split).
+
+    A table of many files has enough splits already and is left alone, so nothing is shuffled at scale.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fathomline.functions.hashing import digest
 from fathomline.functions.columns import nan_to_null
+from fathomline.session import spread_out
 
 # Lookup from event type to channel; one type is left out so that it maps to NULL.
 CHANNELS = [("click", "active"), ("purchase", "active"), ("signup", "active"), ("view", "passive")]
@@ -50,8 +51,8 @@ def weather_daily(spark: SparkSession, folder: str) -> DataFrame:
 
 def corpus(spark: SparkSession, folder: str) -> DataFrame:
     """Documents to search, named by source, language and number."""
-    return table(spark, folder, "documents").select(
-        F.concat_ws("/", "source", "lang", "doc_id").alias("doc"), "text")
+    return spread_out(table(spark, folder, "documents").select(
+        F.concat_ws("/", "source", "lang", "doc_id").alias("doc"), "text"))
 
 
 def search_queries(spark: SparkSession, folder: str) -> DataFrame:
@@ -74,8 +75,8 @@ def turn_documents(spark: SparkSession, folder: str) -> DataFrame:
         "text", F.lit("\n\n#### size\n<b>this turn holds "), F.length("text"),
         F.lit(" characters</b> in one message\n## empty\n\n### <i>again</i>\n"),
         "text", F.lit("\n \n"), "text", F.lit("\n\nEnd of turn.\n"))
-    return table(spark, folder, "conversations").select(
-        F.concat_ws("-", F.lit("conv"), "conv_id", "turn").alias("doc"), text.alias("text"))
+    return spread_out(table(spark, folder, "conversations").select(
+        F.concat_ws("-", F.lit("conv"), "conv_id", "turn").alias("doc"), text.alias("text")))
 
 
 def landed_pages(spark: SparkSession, folder: str) -> DataFrame:
