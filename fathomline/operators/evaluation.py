@@ -74,7 +74,7 @@ def model_pairs(scores: DataFrame) -> DataFrame:
     return ends.select("dataset", "best", F.explode(pairs).alias("p")).select("dataset", "p.pair", "best", "p.other")
 
 
-def significance_tests(scores: DataFrame, replicate: list[str], alpha: float = 0.05) -> DataFrame:
+def significance_tests(scores: DataFrame, replicate: list[str], alpha: float = 0.05, digits: int = 4) -> DataFrame:
     """Wilcoxon test of each model pair on the scores of the same folds."""
     def of(model: str, name: str) -> DataFrame:
         return scores.select("dataset", F.col("model").alias(model), *replicate, F.col("score").alias(name))
@@ -82,8 +82,8 @@ def significance_tests(scores: DataFrame, replicate: list[str], alpha: float = 0
     paired = (model_pairs(scores).join(of("best", "first"), ["dataset", "best"])
               .join(of("other", "second"), ["dataset", "other", *replicate]))
     tested = signed_rank(paired, ["dataset", "pair", "best", "other"], "first", "second")
-    return tested.select("dataset", "pair", "best", "other", F.round("diff_mean", 4).alias("diff_mean"),
-                         F.round("p", 4).alias("wilcoxon_p"), (F.col("p") < alpha).alias("significant_at_0_05"))
+    return tested.select("dataset", "pair", "best", "other", F.round("diff_mean", digits).alias("diff_mean"),
+                         F.round("p", digits).alias("wilcoxon_p"), (F.col("p") < alpha).alias("significant_at_0_05"))
 
 
 def curve_summary(scores: DataFrame) -> DataFrame:

@@ -69,7 +69,7 @@ def model_rank_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def significance_tests(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluation.significance_tests(_nation_scores(spark, folder), ["fold"])
+    return evaluation.significance_tests(_nation_scores(spark, folder), ["fold"], digits=6)
 
 
 def score_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -231,7 +231,7 @@ ORACLE = {
       SELECT label, prediction, count(*) AS n FROM predictions WHERE repeat = 0 GROUP BY ALL""",
     "model_rank_pairs": views.with_views(_NATION_SCORES, _PAIRS) + "SELECT dataset, pair, best, other FROM pairs",
     "significance_tests": views.with_views(_NATION_SCORES, _PAIRS, _SIGNED) + """
-      SELECT dataset, pair, best, other, round(diff_mean, 4) AS diff_mean, round(p, 4) AS wilcoxon_p,
+      SELECT dataset, pair, best, other, round(diff_mean, 6) AS diff_mean, round(p, 6) AS wilcoxon_p,
              p < 0.05 AS significant_at_0_05 FROM gap_means JOIN tails USING (dataset, pair)""",
     "score_summary": views.with_views(_NATION_SCORES) + """
       SELECT dataset, model, round(avg(score), 6) AS accuracy_mean, round(stddev_pop(score), 6) AS accuracy_std

@@ -72,9 +72,8 @@ def wilcoxon_months(spark: SparkSession, folder: str) -> DataFrame:
     pairs = (tables.city_daily(spark, folder).groupBy("city", F.month(date).alias("month"))
              .agg(F.round(F.avg(F.when(F.year(date) == 1996, F.col("pm25"))), 0).alias("first"),
                   F.round(F.avg(F.when(F.year(date) == 1997, F.col("pm25"))), 0).alias("second")))
-    half = pairs.withColumn("half", F.when(F.col("month") <= 6, "first half").otherwise("second half"))
-    return ranktests.signed_rank(half, ["half"], "first", "second").select(
-        "half", F.round("diff_mean", 4).alias("diff_mean"), "n", "statistic", F.round("p", 6).alias("wilcoxon_p"))
+    return ranktests.signed_rank(pairs.withColumn("sample", F.lit("all")), ["sample"], "first", "second").select(
+        "sample", F.round("diff_mean", 6).alias("diff_mean"), "n", "statistic", F.round("p", 6).alias("wilcoxon_p"))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -167,17 +166,17 @@ ORACLE = {
              round(least(1.0, 2 * least(low, high)), 4) AS wilcoxon_p, least(1.0, 2 * least(low, high)) < 0.05
              AS significant FROM means JOIN sums USING ("group") JOIN tails USING ("group")""",
     "wilcoxon_months": views.with_views(views.CITY_DAILY, """pairs AS (
-        SELECT city, CASE WHEN month(date) <= 6 THEN 'first half' ELSE 'second half' END AS half,
+        SELECT city, 'all' AS sample,
                round(avg(pm25) FILTER (year(date) = 1996), 0) AS first,
                round(avg(pm25) FILTER (year(date) = 1997), 0) AS second
-        FROM city_daily GROUP BY city, half, month(date))""",
-        _signed_rank_sql("pairs", "half"), """ties AS (
-        SELECT half, sum(t::DOUBLE * t * t - t) AS ties FROM (
-          SELECT half, abs(gap) AS size, count(*) AS t FROM gaps WHERE gap <> 0 GROUP BY ALL) GROUP BY half),
+        FROM city_daily GROUP BY city, month(date))""",
+        _signed_rank_sql("pairs", "sample"), """ties AS (
+        SELECT sample, sum(t::DOUBLE * t * t - t) AS ties FROM (
+          SELECT sample, abs(gap) AS size, count(*) AS t FROM gaps WHERE gap <> 0 GROUP BY ALL) GROUP BY sample),
       zs AS (
         SELECT *, least(plus, every - plus) AS statistic, (least(plus, every - plus) - n * (n + 1) / 4)
                / sqrt((n * (n + 1.0::DOUBLE) * (2 * n + 1) - ties / 2) / 24) AS z
-        FROM means JOIN sums USING (half) JOIN ties USING (half))""") + f"""
-      SELECT half, round(diff_mean, 4) AS diff_mean, n, statistic, round({views.two_sided_p_sql('z')}, 6) AS wilcoxon_p
+        FROM means JOIN sums USING (sample) JOIN ties USING (sample))""") + f"""
+      SELECT sample, round(diff_mean, 6) AS diff_mean, n, statistic, round({views.two_sided_p_sql('z')}, 6) AS wilcoxon_p
       FROM zs""",
 }

@@ -43,13 +43,13 @@ def table_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def month_group_pivot(spark: SparkSession, folder: str) -> DataFrame:
-    pivoted = rollup.month_group_pivot(tables.city_daily(spark, folder), REGIONS)
+    pivoted = rollup.month_group_pivot(tables.city_daily(spark, folder), REGIONS, digits=8)
     return pivoted.withColumnsRenamed({r: r.lower().replace(" ", "_") for r in REGIONS})
 
 
 def season_ratio(spark: SparkSession, folder: str) -> DataFrame:
     return rollup.season_ratio(tables.city_daily(spark, folder)).select(
-        "city", *[F.round(c, 6).alias(c) for c in ("winter", "summer", "ratio")])
+        "city", *[F.round(c, 8).alias(c) for c in ("winter", "summer", "ratio")])
 
 
 def season_flag_means(spark: SparkSession, folder: str) -> DataFrame:
@@ -151,12 +151,12 @@ ORACLE = {
       SELECT count(*) AS n_rows, count(DISTINCT city) AS n_cities, count(DISTINCT date) AS n_days,
              min(date) AS first_day, max(date) AS last_day FROM city_daily""",
     "month_group_pivot": _daily + "SELECT month(date) AS month, " + ", ".join(
-        f"""round(avg(pm25) FILTER ("group" = '{r}'), 6) AS {r.lower().replace(' ', '_')}""" for r in REGIONS)
+        f"""round(avg(pm25) FILTER ("group" = '{r}'), 8) AS {r.lower().replace(' ', '_')}""" for r in REGIONS)
         + " FROM city_daily GROUP BY 1",
     "season_ratio": _daily + """, w AS (SELECT city, avg(pm25) AS winter FROM city_daily
                                         WHERE month(date) IN (12, 1, 2) GROUP BY city),
       s AS (SELECT city, avg(pm25) AS summer FROM city_daily WHERE month(date) IN (6, 7, 8) GROUP BY city)
-      SELECT city, round(winter, 6) AS winter, round(summer, 6) AS summer, round(winter / summer, 6) AS ratio
+      SELECT city, round(winter, 8) AS winter, round(summer, 8) AS summer, round(winter / summer, 8) AS ratio
       FROM w FULL JOIN s USING (city)""",
     "season_flag_means": _daily + """, flagged AS (
         SELECT "group", pm25, month(date) IN (11, 12, 1, 2, 3) AS heating FROM city_daily)

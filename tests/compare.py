@@ -35,21 +35,30 @@ def _plain(value):
 
 
 def normalised(columns: list[str], rows) -> tuple[list[str], list[tuple]]:
+    """Columns by name, rows ordered by their exact columns first and their floating ones last."""
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return [columns[i] for i in order], sorted(tuple(_plain(row[i]) for i in order) for row in rows)
+    rows = [tuple(row[i] for i in order) for row in rows]
+    rows.sort(key=lambda r: ([_plain(v) for v in r if not isinstance(v, float)], [_plain(v) for v in r]))
+    return [columns[i] for i in order], rows
 
 
-def differences(spark, connection, folder: str, query, sql: str) -> list[str]:
+def _same(ours: tuple, theirs: tuple, tolerance: float) -> bool:
+    return all(_plain(a) == _plain(b) or (tolerance and isinstance(a, float) and isinstance(b, float)
+                                          and abs(a - b) <= tolerance) for a, b in zip(ours, theirs))
+
+
+def differences(spark, connection, folder: str, query, sql: str, tolerance: float = 0.0) -> list[str]:
+    """First differing rows. A tolerance forgives a last digit that both engines round from an exact half."""
     frame = query(spark, folder)
     ours = normalised(frame.columns, [tuple(r) for r in frame.collect()])
     cursor = connection.execute(sql)
     theirs = normalised([d[0] for d in cursor.description], cursor.fetchall())
     if ours[0] != theirs[0]:
         return [f"columns {ours[0]} != {theirs[0]}"]
+    found = [f"{a}\n      {b}" for a, b in zip(ours[1], theirs[1]) if not _same(a, b, tolerance)]
     if len(ours[1]) != len(theirs[1]):
-        return [f"{len(ours[1])} rows != {len(theirs[1])}"] + [
-            f"{a}\n      {b}" for a, b in zip(ours[1], theirs[1]) if a != b][:3]
-    return [f"{a}\n      {b}" for a, b in zip(ours[1], theirs[1]) if a != b][:5]
+        return [f"{len(ours[1])} rows != {len(theirs[1])}", *found[:3]]
+    return found[:5]
 
 
 def main() -> None:
