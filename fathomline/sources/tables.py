@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomline.functions.hashing import digest
@@ -13,8 +13,10 @@ from fathomline.session import spread_out
 CHANNELS = [("click", "active"), ("purchase", "active"), ("signup", "active"), ("view", "passive")]
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return nan_to_null(spark.read.parquet(f"{folder}/{name}.parquet"))
+def table(spark: SparkSession, folder: str, name: str, where: Column | None = None) -> DataFrame:
+    """A driver table with NaN as NULL; `where` is applied to the stored columns, so that the scan can use it."""
+    rows = spark.read.parquet(f"{folder}/{name}.parquet")
+    return nan_to_null(rows if where is None else rows.filter(where))
 
 
 def station_hourly(spark: SparkSession, folder: str) -> DataFrame:
@@ -112,10 +114,11 @@ def quality_features(spark: SparkSession, folder: str) -> DataFrame:
 
 def experiment_units(spark: SparkSession, folder: str, price: float = 400000.0, year: int = 1998) -> DataFrame:
     """Customers as experiment units: unit, segment, arm, converted (an order above `price` in `year`)."""
-    orders = table(spark, folder, "orders")
-    buyers = (orders.filter((F.col("o_totalprice") > price)
-                            & (F.col("o_orderdate") >= F.lit(f"{year}-01-01").cast("timestamp_ntz"))
-                            & (F.col("o_orderdate") < F.lit(f"{year + 1}-01-01").cast("timestamp_ntz")))
+    bought = ((F.col("o_totalprice") > price)
+              & (F.col("o_orderdate") >= F.lit(f"{year}-01-01").cast("timestamp_ntz"))
+              & (F.col("o_orderdate") < F.lit(f"{year + 1}-01-01").cast("timestamp_ntz")))
+    # NaN counts as larger than any price in the scan filter, and is dropped once it reads as missing.
+    buyers = (table(spark, folder, "orders", bought).filter(F.col("o_totalprice").isNotNull())
               .select(F.col("o_custkey").alias("c_custkey"), F.lit(1).alias("converted")).distinct())
     arm_digit = F.conv(F.substring(digest(42, F.col("c_custkey")), 1, 8), 16, 10).cast("long")
     return (table(spark, folder, "customer").join(buyers, "c_custkey", "left")
