@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomline.llm import decontaminate, exact_dedup, packing, token_counts, warc
+from fathomline.llm import decontaminate, exact_dedup, packing, pii, secret_scan, token_counts, warc
 from fathomline.llm.common import table
 
 
@@ -29,11 +29,25 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
 
 
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    rows = pii.find_personal_data(table(spark, folder, "documents"))
+    base, spans = pii.described_spans()
+    return rows.select(F.col("id").alias("doc_id"), *[f"n_{kind}" for kind in pii.KINDS],
+                       F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"))
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     archive = warc.write_archive(table(spark, folder, "pages"))
     return warc.read_index(spark, archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    rows = secret_scan.find_secrets(table(spark, folder, "documents"))
+    base, spans = secret_scan.described_spans()
+    return rows.select(F.col("id").alias("doc_id"), *[f"n_{kind}" for kind in secret_scan.KINDS],
+                       F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"))
+
+
 _ASCII_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all(coalesce({_ASCII_LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -75,7 +89,9 @@ QUERIES = {
     "op4_token_counts": op4_token_counts,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_packing": op7_packing,
+    "op8_pii": op8_pii,
     "op9_warc": op9_warc,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE = {"op2_decontamination": OP2_SQL, "op6_exact_dedup": OP6_SQL, "op9_warc": OP9_SQL}
