@@ -5,20 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomline.llm import decontaminate, exact_dedup, packing, pii, secret_scan, token_counts, warc
+from fathomline.llm import (
+    decontaminate, exact_dedup, language_id, near_join, packing, pii, secret_scan, suffix_dedup,
+    token_counts, warc)
 from fathomline.llm.common import table
 
 
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("x_held_out", F.coalesce(
+        F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)))
+    model = language_id.fit(docs.filter(~F.col("x_held_out")))
+    held_out = F.coalesce(F.crc32(F.col("id").cast("string")) % 4 == 2, F.lit(False))
+    return language_id.classify(docs, model).select(
+        F.col("id").alias("doc_id"), held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         "items_sha256", (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents")).select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.suffix_sums(token_counts.length_histogram(table(spark, folder, "documents")))
 
 
+def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    classes = near_join.similarity_classes(table(spark, folder, "documents"))
+    return classes.select(F.col("id").alias("doc_id"), "class_id", "n_links", "n_shingles")
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     labels = exact_dedup.label_copies(table(spark, folder, "documents"), digest_all=True)
     return labels.select(F.col("id").alias("doc_id"), "keep_id", F.col("group_size").cast("long").alias("group_size"),
@@ -85,8 +106,11 @@ SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
 FROM digits"""
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_token_counts": op4_token_counts,
+    "op5_ngram_join": op5_ngram_join,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_packing": op7_packing,
     "op8_pii": op8_pii,

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from fathomline.llm import queries
 
-QUERIES = dict(queries.QUERIES)
-ORACLE = dict(queries.ORACLE)
+QUERIES = queries.QUERIES | {"pipeline": corpus_pipeline.run}
+ORACLE = queries.ORACLE | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
