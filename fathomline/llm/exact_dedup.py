@@ -48,7 +48,7 @@ def label_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     refined = landed(
         rows.join(small_or_shuffled(shared, broadcast_rows), ["x_length", "x_prefix"], "left")
         .withColumn("x_row", F.monotonically_increasing_id())
-        .withColumn("x_sha", digest if digest_all else F.when("x_shared", digest))
+        .withColumn("x_sha", digest if digest_all else F.when(F.col("x_shared"), digest))
         .drop("x_text", "x_prefix", "x_length"), "refined")
 
     order = F.struct(F.col("x_id").isNull(), "x_id", "x_row")
