@@ -18,6 +18,9 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
+#: A number of at most 255, with any leading zeros.
+_OCTET = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})$"
+
 #: A term: letters and digits, beginning with a letter.
 TERM = r"\p{L}[\p{L}\p{N}]++"
 
@@ -36,8 +39,7 @@ def _luhn(number: Column) -> Column:
 def identifiers(text: Column) -> dict[str, Column]:
     """Checked matches of each kind as arrays of (start, end, found)."""
     digit = text.rlike("[0-9]")
-    small = lambda part: F.try_to_number(F.substr(F.ltrim(F.lit("0"), part), F.lit(1), F.lit(4)), F.lit("9999"))
-    is_ip = lambda s: F.forall(F.split(s["found"], r"\."), lambda part: F.coalesce(small(part), F.lit(0)) <= 255)
+    is_ip = lambda s: F.forall(F.split(s["found"], r"\."), lambda part: part.rlike(_OCTET))
     count = lambda s: F.length(digits_of(s["found"]))
     return {
         "email": found_if(text.contains("@"), text, EMAIL),
@@ -60,8 +62,8 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
 
-def disclosing_terms(rows: DataFrame, context_chars: int = 80, min_contexts: int = 3, generalise: float = 0.7,
-                     remove: float = 0.9) -> DataFrame:
+def disclosing_terms(rows: DataFrame, context_chars: int = 80, min_contexts: int = 3, max_repetition: float = 0.5,
+                     generalise: float = 0.7, remove: float = 0.9) -> DataFrame:
     """Terms that reveal a protected entity, with what to do about them: term, action, disclosure.
 
     `rows` (text, base) are all documents with their identifiers. The context of an identifier is the text within
@@ -69,7 +71,8 @@ def disclosing_terms(rows: DataFrame, context_chars: int = 80, min_contexts: int
     term t, d(e) with entity e and d(t, e) with t in a context of e, the disclosure of t is PMI(t; e) / IC(e) =
     log(d(t, e) N / (d(t) d(e))) / log(N / d(e)): 1 where the term never occurs without the entity, 0 where they are
     independent. A term counts only with `min_contexts` different contexts of the entity, so that copies of one passage
-    say nothing. From `remove` on it is removed, from `generalise` on generalised; its strongest entity decides.
+    say nothing; nor does an entity in edited copies of one, whose contexts share more than `max_repetition` of their
+    words on average. From `remove` on it is removed, from `generalise` on generalised; its strongest entity decides.
 
     All counts are sums combined in the tasks before the shuffle; contexts are de-duplicated by their digest first.
     """
@@ -86,10 +89,14 @@ def disclosing_terms(rows: DataFrame, context_chars: int = 80, min_contexts: int
     entity_docs = contexts.groupBy("entity", "row").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count("*").alias("d_e"))
     # Entities of fewer contexts can't have a term of enough: they leave before the terms are spread out.
     frequent = (contexts.groupBy("entity", "place").agg(F.lit(1).alias("one")).groupBy("entity")
-                .agg(F.count("*").alias("places")).filter(F.col("places") >= min_contexts).select("entity"))
+                .agg(F.count("*").alias("contexts")).filter(F.col("contexts") >= min_contexts))
     spread = contexts.join(frequent, "entity", "left_semi").select("row", "entity", "place", F.explode("terms").alias("term"))
     support = (spread.groupBy("term", "entity", "place").agg(F.lit(1).alias("one")).groupBy("term", "entity")
-               .agg(F.count("*").alias("places")).filter(F.col("places") >= min_contexts).select("term", "entity"))
+               .agg(F.count("*").alias("places")))
+    # Share of an entity's contexts in which a word of its contexts stands, on average: near 1 for an edited passage.
+    varied = (support.groupBy("entity").agg(F.sum(F.col("places") * F.col("places")).alias("squares"), F.sum("places").alias("all"))
+              .join(frequent, "entity").filter(F.col("squares") <= max_repetition * F.col("all") * F.col("contexts")).select("entity"))
+    support = (support.filter(F.col("places") >= min_contexts).join(varied, "entity", "left_semi").select("term", "entity"))
     together = (spread.join(support, ["term", "entity"], "left_semi").groupBy("term", "entity", "row").agg(F.lit(1).alias("one"))
                 .groupBy("term", "entity").agg(F.count("*").alias("d_te")))
     candidates = landed(together.join(entity_docs, "entity"), "candidate-terms")
