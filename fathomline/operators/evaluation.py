@@ -31,15 +31,14 @@ def score_summary(scores: DataFrame, by: list[str], digits: int = 4) -> DataFram
 def regression_scores(predictions: DataFrame, by: list[str]) -> DataFrame:
     """R² against the mean of the pooled targets, and the mean absolute error.
 
-    The squared deviations are taken around each group's own mean, found in a first small aggregation.
+    One aggregation: the squared deviations are the variance of the targets times their number. R² of a constant target
+    is null.
     """
-    means = predictions.groupBy(*by).agg(F.avg("target").alias("mean_target"))
     error = F.col("target") - F.col("prediction")
-    spread = F.col("target") - F.col("mean_target")
-    sums = predictions.join(means, by).groupBy(*by).agg(
-        F.sum(error * error).alias("unexplained"), F.sum(spread * spread).alias("total"),
+    sums = predictions.filter(F.col("target").isNotNull() & F.col("prediction").isNotNull()).groupBy(*by).agg(
+        F.sum(error * error).alias("unexplained"), (F.var_pop("target") * F.count("target")).alias("total"),
         F.avg(F.abs(error)).alias("mae"))
-    return sums.select(*by, (1 - F.col("unexplained") / F.col("total")).alias("r2"), "mae")
+    return sums.select(*by, (1 - F.try_divide("unexplained", "total")).alias("r2"), "mae")
 
 
 def gain_over_baseline(scores: DataFrame, baseline: str) -> DataFrame:

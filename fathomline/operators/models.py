@@ -19,6 +19,7 @@ from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegress
 from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -47,17 +48,23 @@ ROWS_PER_TASK = 20_000
 class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """Random cosine features whose inner products approximate an RBF kernel (Rahimi and Recht, 2007)."""
 
+    width = Param(Params._dummy(), "width", "length of the input vectors", TypeConverters.toInt)
+    gamma = Param(Params._dummy(), "gamma", "inverse scale of the kernel", TypeConverters.toFloat)
+    count = Param(Params._dummy(), "count", "number of features drawn", TypeConverters.toInt)
+    seed = Param(Params._dummy(), "seed", "seed of the draws", TypeConverters.toInt)
+
     @keyword_only
     def __init__(self, inputCol: str = "features", outputCol: str = "fourier", width: int = 1, gamma: float = 1.0,
                  count: int = FOURIER_FEATURES, seed: int = SEED):
         super().__init__()
-        self._set(inputCol=inputCol, outputCol=outputCol)
-        draws = np.random.default_rng(seed)
-        self.directions = draws.normal(scale=math.sqrt(2 * gamma), size=(width, count))
-        self.offsets = draws.uniform(0, 2 * math.pi, size=count)
+        self._set(inputCol=inputCol, outputCol=outputCol, width=width, gamma=gamma, count=count, seed=seed)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        directions, offsets = self.directions, self.offsets
+        # Redrawn from the parameters alone, so that a saved and loaded stage is the same.
+        width, gamma, count, seed = (self.getOrDefault(p) for p in (self.width, self.gamma, self.count, self.seed))
+        draws = np.random.default_rng(seed)
+        directions = draws.normal(scale=math.sqrt(2 * gamma), size=(width, count))
+        offsets = draws.uniform(0, 2 * math.pi, size=count)
         scale = math.sqrt(2 / len(offsets))
 
         @F.pandas_udf(T.ArrayType(T.DoubleType()))

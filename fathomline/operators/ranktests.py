@@ -13,6 +13,8 @@ from fathomline.operators.ranks import running_by_value
 
 # Sample sizes up to which the exact null distributions are used.
 EXACT_U_SIZE = 8
+# Largest product of the two sample sizes for the exact distribution, which has one number for each value of U.
+EXACT_U_CELLS = 10_000_000
 EXACT_SIGNED_RANK_SIZE = 50
 # Score differences closer than this many decimals are equal; the rest is floating-point noise.
 DIFFERENCE_DIGITS = 12
@@ -38,7 +40,8 @@ def exact_u_p(u: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
                      dtype="float64")
 
 
-def mann_whitney(samples: DataFrame, by: list[str], value: str, in_first: str) -> DataFrame:
+def mann_whitney(samples: DataFrame, by: list[str], value: str, in_first: str,
+                 exact_cells: int = EXACT_U_CELLS) -> DataFrame:
     """Two-sided test of the rows where `in_first` holds against the others, one result row per group.
 
     Values are first counted per side, which is all the test needs; ranks come from running counts.
@@ -59,7 +62,7 @@ def mann_whitney(samples: DataFrame, by: list[str], value: str, in_first: str) -
     spread = F.sqrt(product / 12 * (total + 1 - F.try_divide(ties, total * (total - 1))))
     z = F.try_divide(F.abs(u - product / 2) - 0.5, spread)
     approximate = F.least(F.when(z < 0, 2 - two_sided_p(z)).otherwise(two_sided_p(z)), F.lit(1.0))
-    exact = (F.least(n1, n2) <= EXACT_U_SIZE) & (ties == 0) & (product > 0)
+    exact = (F.least(n1, n2) <= EXACT_U_SIZE) & (ties == 0) & (product > 0) & (product <= exact_cells)
     parts = sums.withColumns({"z": z, "p": approximate, "exact": exact})
     # The Python helper sees only the rows that need it: empty samples elsewhere.
     p_exact = exact_u_p(F.when(F.col("exact"), u).otherwise(0.0), F.when(F.col("exact"), n1).otherwise(0.0),

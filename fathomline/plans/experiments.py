@@ -12,7 +12,7 @@ from fathomline.plans import views
 from fathomline.sources import tables
 
 MDE, ALPHA, POWER = 0.05, 0.05, 0.8
-REPLICATES = 200
+REPLICATES = 2000
 
 
 def _baselines(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,23 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def use_checkpoint_dir(spark: SparkSession) -> None:
-    """Point the context at the shared folder the cluster names; a scratch folder only in local mode."""
+    """Point the context at the shared folder the cluster names, or below the warehouse where it names none."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     folder = spark.conf.get(CHECKPOINT_SETTING, None) or context.getConf().get(CHECKPOINT_SETTING)
     if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_SETTING} to a shared folder before running iterative jobs")
-        folder = tempfile.mkdtemp(prefix="fathomline-checkpoint-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
     context.setCheckpointDir(folder)
 
 

@@ -25,10 +25,12 @@ def cache_key(url: Column) -> Column:
 def stored_payloads(landed: DataFrame, refresh: bool = True) -> DataFrame:
     """One response per cache key: the newest when responses are refreshed, else the first one stored.
 
-    The winner is found on the narrow columns (hash aggregation with map-side combine), and only then
-    joined to the wide payload, so a key fetched very often never gathers its payloads in one task.
+    Responses fetched at the same time are ordered by a digest of their columns, so exactly one comes back. Every task
+    keeps one response per key before the shuffle, so a key fetched very often never gathers its payloads in one task.
     """
-    pick = F.max if refresh else F.min
-    keyed = landed.withColumn("cache_key", cache_key(F.col("url")))
-    winners = keyed.groupBy("cache_key").agg(pick("fetched_at").alias("fetched_at"))
-    return keyed.join(winners, ["cache_key", "fetched_at"])
+    others = [c for c in landed.columns if c != "fetched_at"]
+    response, order = F.struct(*others), F.struct("fetched_at", F.sha2(F.to_json(F.struct(*others)), 256))
+    pick = F.max_by if refresh else F.min_by
+    kept = landed.groupBy(cache_key(F.col("url")).alias("cache_key")).agg(
+        (F.max if refresh else F.min)("fetched_at").alias("fetched_at"), pick(response, order).alias("response"))
+    return kept.select("cache_key", "fetched_at", "response.*")

@@ -98,18 +98,18 @@ def embedding_features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quality_features(spark: SparkSession, folder: str) -> DataFrame:
-    """Document quality labels with simple counts of the text as features."""
+    """Document quality labels with simple counts of the text as features; shares of an empty text are 0."""
     text = F.col("text")
     words = F.size(F.split(text, r"\s+"))
-    counts = [F.length(text), words, F.length(text) / words,
-              F.length(F.regexp_replace(text, r"[^.,;:!?]", "")) / F.length(text),
-              F.length(F.regexp_replace(text, r"[^0-9]", "")) / F.length(text),
-              F.length(F.regexp_replace(text, r"[^A-Z]", "")) / F.length(text),
-              F.length(F.regexp_replace(text, r"[^\n]", "")) / words,
-              F.length(F.regexp_replace(text, r"[\p{L}\p{N}\s]", "")) / F.length(text)]
+    counts = [F.length(text), words, F.try_divide(F.length(text), words),
+              F.try_divide(F.length(F.regexp_replace(text, r"[^.,;:!?]", "")), F.length(text)),
+              F.try_divide(F.length(F.regexp_replace(text, r"[^0-9]", "")), F.length(text)),
+              F.try_divide(F.length(F.regexp_replace(text, r"[^A-Z]", "")), F.length(text)),
+              F.try_divide(F.length(F.regexp_replace(text, r"[^\n]", "")), words),
+              F.try_divide(F.length(F.regexp_replace(text, r"[\p{L}\p{N}\s]", "")), F.length(text))]
     return (table(spark, folder, "labels").join(table(spark, folder, "documents"), "doc_id")
             .select(F.col("doc_id").alias("row_id"), F.col("quality").alias("label"),
-                    F.array(*[c.cast("double") for c in counts]).alias("features")))
+                    F.array(*[F.coalesce(c.cast("double"), F.lit(0.0)) for c in counts]).alias("features")))
 
 
 def experiment_units(spark: SparkSession, folder: str, price: float = 400000.0, year: int = 1998) -> DataFrame:
