@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType
 
 # Calendar months of the heating season, of winter and of summer.
-HEATING_MONTHS = (1, 2, 3, 11, 12)
+HEATING_MONTHS = (11, 12, 1, 2, 3)
 WINTER_MONTHS = (12, 1, 2)
 SUMMER_MONTHS = (6, 7, 8)
 
