@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fathomline.operators import evaluation, folds, neighbours
+from fathomline.operators import evaluation, folds, neighbours, scenarios
 
 SEED = 42
 # Model settings.
@@ -41,8 +41,6 @@ KNN = "KNN"
 FITS_AT_ONCE = 8
 # Optimisers stop when a step changes the loss by less than this share.
 TOLERANCE = 1e-4
-# Train rows per task: every optimiser step is a job, so small tables must not be spread over many tasks.
-ROWS_PER_TASK = 20_000
 
 
 class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -121,67 +119,47 @@ def in_parallel(tasks: Iterable[Callable], spark: SparkSession, at_once: int = F
 
 
 def scenario_scores(rows: DataFrame, scenario: list[str], models: dict[str, Callable | None]) -> DataFrame:
+    """`placed_scores` for a table that repeats its rows per scenario: scenario columns, row_id, label, features, is_test."""
+    return placed_scores(scenarios.gather(rows, scenario), scenarios.types_of(rows, scenario), models)
+
+
+def placed_scores(placed: DataFrame, scenario_types: T.StructType, models: dict[str, Callable | None]) -> DataFrame:
     """Accuracy of every model in every scenario: scenario columns, model, score, train_rows.
 
-    `rows` has the scenario columns, row_id, label, features and is_test. Scenarios (folds, or fractions and
-    seeds) are few; the rows of one scenario are not bounded and stay distributed.
+    `placed` is a table of `scenarios.place`: one copy of the rows serves all fits, each of which filters it.
     """
-    spark = rows.sparkSession
-    rows = with_vector(rows).persist()
-    shapes = (rows.filter(~F.col("is_test")).groupBy(*scenario)
-              .agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("width"),
-                   F.count_distinct("label").alias("classes")).collect())
+    spark = placed.sparkSession
+    rows = with_vector(placed).persist()
+    shapes = scenarios.train_shapes(rows).collect()
 
     def fit_one(name: str, shape) -> Callable:
         def run() -> tuple:
-            of_scenario = F.lit(True)
-            for column in scenario:
-                of_scenario = of_scenario & (F.col(column) == F.lit(shape[column]))
-            part = rows.filter(of_scenario).coalesce(1 + shape["n"] // ROWS_PER_TASK)
             estimator = models[name](shape["n"], shape["width"], max(2, shape["classes"]))
-            fitted = estimator.fit(part.filter(~F.col("is_test")).select("label", "vector"))
-            predicted = fitted.transform(part.filter("is_test").select("label", "vector"))
+            fitted = estimator.fit(rows.filter(F.array_contains("trains", shape["scenario"])).select("label", "vector"))
+            predicted = fitted.transform(rows.filter(F.array_contains("tests", shape["scenario"])).select("label", "vector"))
             score = predicted.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
-            return (*[shape[c] for c in scenario], name, score, shape["n"])
+            return shape["scenario"], name, score, shape["n"]
         return run
 
     tasks = [fit_one(name, shape) for name in models if models[name] is not None for shape in shapes]
-    fields = [rows.schema[c] for c in scenario]
-    schema = T.StructType([*fields, T.StructField("model", T.StringType()), T.StructField("score", T.DoubleType()),
-                           T.StructField("train_rows", T.LongType())])
-    scores = spark.createDataFrame(in_parallel(tasks, spark), schema)
+    scores = spark.createDataFrame(in_parallel(tasks, spark), "scenario string, model string, score double, train_rows long")
+    rows.unpersist()
     if KNN in models:
-        sizes = rows.filter(~F.col("is_test")).groupBy(*scenario).agg(F.count(F.lit(1)).alias("train_rows"))
-        near = evaluation.accuracy(neighbours.knn_predict(rows.drop("vector"), scenario), scenario)
-        scores = scores.unionByName(near.join(sizes, scenario).select(
-            *scenario, F.lit(KNN).alias("model"), "score", "train_rows"))
-    return scores
-
-
-def fold_scenarios(features: DataFrame, placed: DataFrame, n_folds: int = folds.FOLDS) -> DataFrame:
-    """Every row once per (repeat, held-out fold), marked test or train."""
-    every = placed.select("row_id", "repeat", F.col("fold").alias("own"),
-                          F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))).alias("fold"))
-    return every.select("row_id", "repeat", "fold", (F.col("own") == F.col("fold")).alias("is_test")).join(
-        features, "row_id")
-
-
-def curve_scenarios(features: DataFrame, fractions: list[float], seeds: list[int]) -> DataFrame:
-    """Train subsamples of a fixed stratified hold-out, with the hold-out as the test set of every scenario."""
-    split = folds.holdout_split(features)
-    chosen = folds.stratified_subsamples(split.filter(~F.col("is_test")), fractions, seeds).select(
-        "row_id", "fraction", "seed", F.lit(False).alias("is_test"))
-    pairs = F.array(*[F.struct(F.lit(float(f)).alias("fraction"), F.lit(s).alias("seed"))
-                      for f in fractions for s in seeds])
-    tested = split.filter("is_test").select("row_id", F.explode(pairs).alias("s")).select(
-        "row_id", "s.fraction", "s.seed", F.lit(True).alias("is_test"))
-    return chosen.unionByName(tested).join(features, "row_id")
+        sizes = spark.createDataFrame([(r["scenario"], r["n"]) for r in shapes], "scenario string, train_rows long")
+        sizes = sizes.select(*scenarios.named(scenario_types), "train_rows")
+        predicted = neighbours.predict_each(placed, scenario_types, [neighbours.NEIGHBOURS])
+        near = evaluation.accuracy(predicted, scenario_types.names).join(F.broadcast(sizes), scenario_types.names)
+        return scores.select(*scenarios.named(scenario_types), "model", "score", "train_rows").unionByName(
+            near.select(*scenario_types.names, F.lit(KNN).alias("model"), "score", "train_rows"))
+    return scores.select(*scenarios.named(scenario_types), "model", "score", "train_rows")
 
 
 def cross_validation(features: DataFrame, models: dict[str, Callable | None], dataset: str) -> DataFrame:
     """Scores of all models on the same repeated stratified folds: dataset, model, repeat, fold, score."""
-    rows = fold_scenarios(features, folds.stratified_folds(features))
-    return scenario_scores(rows, ["repeat", "fold"], models).withColumn("dataset", F.lit(dataset))
+    members = scenarios.fold_members(folds.stratified_folds(features))
+    keys = ["repeat", "fold"]
+    placed = scenarios.place(features, members, keys)
+    return placed_scores(placed, scenarios.types_of(members, keys), models).withColumn("dataset", F.lit(dataset))
 
 
 def holdout_best(features: DataFrame, models: dict[str, Callable | None], dataset: str) -> DataFrame:
@@ -193,12 +171,12 @@ def holdout_best(features: DataFrame, models: dict[str, Callable | None], datase
         named = neighbours.knn_predict(rows.withColumn("dataset", F.lit(dataset)), ["dataset"])
         return named.select("row_id", F.lit(best).alias("model"), F.col("label").cast("int").alias("label"),
                             F.col("prediction").cast("int").alias("prediction"))
-    rows = with_vector(rows).persist()
-    train = rows.filter(~F.col("is_test"))
+    rows = with_vector(rows)
+    train = rows.filter(~F.col("is_test")).persist()
     shape = train.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("width"),
                       F.count_distinct("label").alias("classes")).first()
-    train = train.coalesce(1 + shape["n"] // ROWS_PER_TASK)
     fitted = models[best](shape["n"], shape["width"], max(2, shape["classes"])).fit(train)
+    train.unpersist()
     return fitted.transform(rows.filter("is_test")).select(
         "row_id", F.lit(best).alias("model"), F.col("label").cast("int").alias("label"),
         F.col("prediction").cast("int").alias("prediction"))
@@ -207,7 +185,9 @@ def holdout_best(features: DataFrame, models: dict[str, Callable | None], datase
 def learning_curve(features: DataFrame, models: dict[str, Callable | None], dataset: str, fractions: list[float],
                    seeds: list[int]) -> DataFrame:
     """Hold-out accuracy per model and train size, mean and deviation over the seeds."""
-    scores = scenario_scores(curve_scenarios(features, fractions, seeds), ["fraction", "seed"], models)
+    members = scenarios.curve_members(features, fractions, seeds)
+    keys = ["fraction", "seed"]
+    scores = placed_scores(scenarios.place(features, members, keys), scenarios.types_of(members, keys), models)
     return evaluation.curve_summary(scores.withColumn("dataset", F.lit(dataset)).withColumnRenamed(
         "train_rows", "size"))
 
@@ -248,19 +228,18 @@ def out_of_fold(rows: DataFrame, models: dict[str, tuple[str, Estimator]]) -> Da
     predictions need no join back to their rows.
     """
     rows = rows.persist()
-    sizes = {r["fold"]: r["count"] for r in rows.groupBy("fold").count().collect()}
-    tasks_per_fit = 1 + sum(sizes.values()) // ROWS_PER_TASK
+    held_out = sorted(r["fold"] for r in rows.select("fold").distinct().collect())
 
     def fit_one(name: str, fold: int) -> Callable:
         def run() -> DataFrame:
             column, estimator = models[name]
             named = estimator.copy({estimator.featuresCol: column, estimator.labelCol: "target"})
-            fitted = named.fit(rows.filter(F.col("fold") != fold).coalesce(tasks_per_fit))
+            fitted = named.fit(rows.filter(F.col("fold") != fold))
             return fitted.transform(rows.filter(F.col("fold") == fold)).select(
                 F.lit(name).alias("model"), "city", "ym", "target", "prediction")
         return run
 
-    parts = in_parallel([fit_one(name, fold) for name in models for fold in sorted(sizes)], rows.sparkSession)
+    parts = in_parallel([fit_one(name, fold) for name in models for fold in held_out], rows.sparkSession)
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)

@@ -1,17 +1,14 @@
-"""Exact k-nearest-neighbour classification without a cross join.
-
-Train rows are grouped into cells around pivots. A test row only visits the cells that can hold one of its
-nearest rows, by the triangle inequality with an upper bound from the closest rows of every cell. Inside a cell
-rows travel in packs of limited size; a task compares one test pack with one train pack and emits the best rows
-of that pack only, so neither a crowded cell nor a crowded scenario ends up in one task.
-Of equal train rows only the first k can be neighbours; the others are left out before anything is compared,
-which flattens groups of copies without changing the result.
+"""Exact k-nearest-neighbour classification in tiles.
+
+Rows are dealt by a hash into parts of about a thousand. A tile compares one part of test rows with one part of train
+rows for all scenarios that use them, as a matrix product that proposes neighbours and plain differences that decide,
+and emits the k nearest of the tile only. Rows between the steps are at most test rows x k x train parts per scenario;
+features travel once per tile, never once per scenario. Exact search compares all test rows with all train rows, in
+blocks; it does not get cheaper than that.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -20,179 +17,110 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fathomline.functions.hashing import digest
-from fathomline.session import collect_bounded, cut_lineage
+from fathomline.operators import scenarios
+from fathomline.session import cut_lineage
 
 NEIGHBOURS = 5
-PIVOTS = 64
-PACK_ROWS = 1024
+TILE_ROWS = 1024
 # Squared distances are compared at this many decimals, so that equal rows tie exactly.
 DISTANCE_DIGITS = 9
-# Relative and absolute allowance on every bound: covers rounding, so that no neighbour is ruled out.
-SLACK = 1e-9
-MAX_SCENARIOS = 1_000
+# Relative and absolute allowance on a proposed distance: covers its rounding, so that no neighbour is missed.
+SLACK = 2e-9
 ELEMENTS_AT_ONCE = 1_000_000
 
 
-def scaling(train: DataFrame, scenario: list[str]) -> DataFrame:
-    """Mean and population deviation of every feature per scenario; constant features scale by 1."""
+def scaling(placed: DataFrame) -> DataFrame:
+    """Mean and population deviation of every feature of a scenario's train rows; constant features scale by 1."""
     metrics = Summarizer.metrics("mean", "variance", "count").summary(array_to_vector("features")).alias("m")
-    moments = train.groupBy(*scenario).agg(metrics)
+    moments = placed.select(F.explode("trains").alias("scenario"), "features").groupBy("scenario").agg(metrics)
     n = F.col("m.count")
     shrink = F.when(n > 1, (n - 1) / n).otherwise(0.0)
     stds = F.transform(vector_to_array("m.variance"), lambda v: F.when(v > 0, F.sqrt(v * shrink)).otherwise(1.0))
-    return moments.select(*scenario, vector_to_array("m.mean").alias("means"), stds.alias("stds"))
-
-
-def standardised(rows: DataFrame, scenario: list[str]) -> DataFrame:
-    """Features scaled with the train rows of their own scenario (one scaling row per scenario)."""
-    scales = scaling(rows.filter(~F.col("is_test")), scenario)
-    centred = F.zip_with("features", "means", lambda x, m: x - m)
-    return rows.join(scales, scenario).withColumn(
-        "features", F.zip_with(centred, "stds", lambda x, s: x / s)).drop("means", "stds")
-
-
-def _squared(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Squared distances from plain differences, a few left rows at a time to bound the memory."""
-    step = max(1, ELEMENTS_AT_ONCE // max(1, right.size))
-    parts = [((left[at:at + step, None, :] - right[None, :, :]) ** 2).sum(axis=2)
-             for at in range(0, len(left), step)]
-    return np.concatenate(parts)
+    return moments.select("scenario", vector_to_array("m.mean").alias("means"), stds.alias("stds"))
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype("float64")
 
 
-def _pivot_table(train: DataFrame) -> dict[str, np.ndarray]:
-    """A few train rows per scenario by smallest hash; the choice affects speed only, never the result."""
-    first = Window.partitionBy("scenario").orderBy(digest("pivot", F.col("train_id")))
-    chosen = train.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= PIVOTS)
-    grouped: dict[str, list] = {}
-    for row in collect_bounded(chosen.select("scenario", "features"), MAX_SCENARIOS * PIVOTS, "pivots"):
-        grouped.setdefault(row["scenario"], []).append(row["features"])
-    return {scenario: np.array(features, dtype="float64") for scenario, features in grouped.items()}
-
-
-def _in_cells(train: DataFrame, pivots) -> DataFrame:
-    """Nearest pivot of every train row and the distance to it."""
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for scenario, part in batch.groupby("scenario"):
-                apart = np.sqrt(_squared(_matrix(part["features"]), pivots.value[scenario]))
-                cells = apart.argmin(axis=1)
-                yield part.assign(cell=cells.astype("int32"), radius=apart[np.arange(len(cells)), cells])
-
-    schema = T.StructType([*train.schema.fields, T.StructField("cell", T.IntegerType()),
-                           T.StructField("radius", T.DoubleType())])
-    return train.mapInPandas(assign, schema)
-
-
-def _cell_table(cells: DataFrame, k: int) -> dict[str, dict]:
-    """Per scenario and cell: row count, outer radius and the k distances closest to the pivot (bounded table)."""
-    near = Window.partitionBy("scenario", "cell").orderBy("radius")
-    closest = (cells.select("scenario", "cell", "radius").withColumn("place", F.row_number().over(near))
-               .filter(F.col("place") <= k)
-               .groupBy("scenario", "cell").agg(F.sort_array(F.collect_list("radius")).alias("closest")))
-    sizes = cells.groupBy("scenario", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("radius").alias("outer"))
-    table: dict[str, dict] = {}
-    for row in collect_bounded(sizes.join(closest, ["scenario", "cell"]), MAX_SCENARIOS * PIVOTS, "cells"):
-        table.setdefault(row["scenario"], {})[row["cell"]] = (row["n"], row["outer"], row["closest"])
-    return table
-
-
-def _visits(test: DataFrame, pivots, table, k: int) -> DataFrame:
-    """(test row, cell) for every cell that may hold one of the k nearest train rows of the test row."""
-    def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for scenario, part in batch.groupby("scenario"):
-                cells = table.value[scenario]
-                ids = np.array(sorted(cells), dtype="int32")
-                apart = np.sqrt(_squared(_matrix(part["features"]), pivots.value[scenario][ids]))
-                reach = np.concatenate([apart[:, [at]] + np.array(cells[c][2])[None, :]
-                                        for at, c in enumerate(ids)], axis=1)
-                wanted = min(k, reach.shape[1])
-                bound = np.partition(reach, wanted - 1, axis=1)[:, [wanted - 1]]
-                outer = np.array([cells[c][1] for c in ids])[None, :]
-                row_at, cell_at = np.nonzero(apart - outer <= bound + SLACK * (1 + apart + outer))
-                packs = np.array([1 + cells[c][0] // PACK_ROWS for c in ids], dtype="int32")
-                visits = part.iloc[row_at][["scenario", "test_id", "features"]].reset_index(drop=True)
-                yield visits.assign(cell=ids[cell_at], packs=packs[cell_at])
-
-    return test.mapInPandas(plan, "scenario string, test_id long, features array<double>, cell int, packs int")
-
-
-def _packed(rows: DataFrame, keys: list[str], names: dict[str, str]) -> DataFrame:
-    """Rows of a pack as parallel arrays, features flattened; the keys must hold a pack number."""
-    gathered = rows.groupBy(*keys).agg(F.collect_list(F.struct(*names)).alias("pack"))
-    columns = [(F.flatten(F.col(f"pack.{c}")) if c == "features" else F.col(f"pack.{c}")).alias(to)
-               for c, to in names.items()]
-    return gathered.select(*keys, *columns)
-
-
-def nearest_rows(test: DataFrame, train: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
-    """The k nearest train rows of every test row: scenario, test_id, train_id, label, squared, place.
-
-    `test` has scenario, test_id, features; `train` has scenario, train_id, label, features. Rows at the same
-    distance come in the order of train_id.
+def _closest(tests: np.ndarray, trains: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row of the test, row of the train and squared distance of the k nearest; equal distances in train order."""
+    test_size, train_size = (tests ** 2).sum(axis=1)[:, None], (trains ** 2).sum(axis=1)[None, :]
+    proposed = test_size + train_size - 2 * tests @ trains.T
+    wanted = min(k, len(trains))
+    limit = np.partition(proposed, wanted - 1, axis=1)[:, [wanted - 1]] + SLACK * (1 + test_size + train_size.max())
+    test_at, train_at = np.nonzero(proposed <= limit)
+    step = max(1, ELEMENTS_AT_ONCE // max(1, tests.shape[1]))
+    squared = np.round(np.concatenate([
+        ((tests[test_at[at:at + step]] - trains[train_at[at:at + step]]) ** 2).sum(axis=1)
+        for at in range(0, len(test_at), step)]), DISTANCE_DIGITS)
+    order = np.lexsort((train_at, squared, test_at))
+    test_at, train_at, squared = test_at[order], train_at[order], squared[order]
+    near = np.arange(len(test_at)) - np.searchsorted(test_at, test_at) < k
+    return test_at[near], train_at[near], squared[near]
+
+
+def nearest_rows(placed: DataFrame, k: int = NEIGHBOURS, tile_rows: int | None = None) -> DataFrame:
+    """The k nearest train rows of every test row in every scenario: scenario, row_id, label, candidate, place.
+
+    `placed` is a table of `scenarios.place`. Features are scaled with the train rows of the scenario. Train rows at
+    the same distance come in the order of their row_id. A scenario without train rows finds nothing.
+    """
+    placed = cut_lineage(placed)
+    scales = placed.sparkSession.sparkContext.broadcast(  # one row per scenario, and those the caller lists
+        {r["scenario"]: (np.array(r["means"]), np.array(r["stds"])) for r in scaling(placed).collect()})
+    parts = 1 + placed.count() // (tile_rows or TILE_ROWS)
+    own, every = F.pmod(F.xxhash64("row_id"), F.lit(parts)), F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    tests = placed.filter(F.size("tests") > 0).select(
+        own.alias("test_part"), every.alias("train_part"), "row_id", "label", "features", "tests")
+    trains = placed.filter(F.size("trains") > 0).select(
+        every.alias("test_part"), own.alias("train_part"), "row_id", "label", "features", "trains")
+
+    def best_of_tile(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found = [pd.DataFrame({"scenario": pd.Series(dtype="str"), "row_id": pd.Series(dtype="int64"),
+                               "label": pd.Series(dtype="int32"), "train_id": pd.Series(dtype="int64"),
+                               "candidate": pd.Series(dtype="int32"), "squared": pd.Series(dtype="float64")})]
+        if not len(left) or not len(right):
+            return found[0]
+        right = right.sort_values("row_id", kind="stable")
+        test_values, train_values = _matrix(left["features"]), _matrix(right["features"])
+        for name, (means, stds) in scales.value.items():
+            tested = np.flatnonzero([name in names for names in left["tests"]])
+            trained = np.flatnonzero([name in names for names in right["trains"]])
+            if len(tested) and len(trained):
+                test_at, train_at, squared = _closest(
+                    (test_values[tested] - means) / stds, (train_values[trained] - means) / stds, k)
+                mine, theirs = left.iloc[tested[test_at]], right.iloc[trained[train_at]]
+                found.append(pd.DataFrame({
+                    "scenario": name, "row_id": mine["row_id"].to_numpy(), "label": mine["label"].to_numpy(),
+                    "train_id": theirs["row_id"].to_numpy(), "candidate": theirs["label"].to_numpy(),
+                    "squared": squared}))
+        return pd.concat(found[1:] or found)
+
+    tile = ["test_part", "train_part"]
+    best = tests.groupBy(*tile).cogroup(trains.groupBy(*tile)).applyInPandas(
+        best_of_tile, "scenario string, row_id long, label int, train_id long, candidate int, squared double")
+    closest = Window.partitionBy("scenario", "row_id").orderBy("squared", "train_id")
+    return best.withColumn("place", F.row_number().over(closest)).filter(F.col("place") <= k)
+
+
+def predict_each(placed: DataFrame, scenario_types: T.StructType, counts: list[int]) -> DataFrame:
+    """Majority label of the k nearest train rows for several k, found in one search.
+
+    Result: scenario columns, row_id, label, k, prediction. Ties between labels go to the smaller label.
     """
-    context = train.sparkSession.sparkContext
-    equal = Window.partitionBy("scenario", "features").orderBy("train_id")
-    useful = train.withColumn("copy", F.row_number().over(equal)).filter(F.col("copy") <= k).drop("copy")
-    train = cut_lineage(useful.select("scenario", "train_id", "label", "features"))
-    pivots = context.broadcast(_pivot_table(train))
-    cells = cut_lineage(_in_cells(train, pivots))
-    table = context.broadcast(_cell_table(cells, k))
-    visits = cut_lineage(_visits(test, pivots, table, k))
-
-    crowds = visits.groupBy("scenario", "cell").agg((F.floor(F.count(F.lit(1)) / PACK_ROWS) + 1).alias("crowd"))
-    spread = visits.join(crowds, ["scenario", "cell"]).select(
-        "scenario", "cell", F.explode(F.sequence(F.lit(0), F.col("packs") - 1)).alias("train_pack"),
-        F.pmod(F.xxhash64("test_id"), F.col("crowd")).alias("test_pack"), "test_id", "features")
-    test_packs = _packed(spread, ["scenario", "cell", "train_pack", "test_pack"],
-                         {"test_id": "test_ids", "features": "test_values"})
-    counts = cells.groupBy("scenario", "cell").agg((F.floor(F.count(F.lit(1)) / PACK_ROWS) + 1).alias("packs"))
-    train_packs = _packed(
-        cells.join(counts, ["scenario", "cell"]).withColumn(
-            "train_pack", F.pmod(F.xxhash64("train_id"), F.col("packs")).cast("int")),
-        ["scenario", "cell", "train_pack"],
-        {"train_id": "train_ids", "label": "labels", "features": "train_values"})
-    joined = test_packs.join(train_packs, ["scenario", "cell", "train_pack"]).select(
-        "scenario", "test_ids", "test_values", "train_ids", "labels", "train_values")
-
-    def best_of_pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                order = np.argsort(row.train_ids, kind="stable")
-                ids, labels = np.asarray(row.train_ids)[order], np.asarray(row.labels)[order]
-                tests = np.asarray(row.test_values).reshape(len(row.test_ids), -1)
-                squared = np.round(_squared(tests, np.asarray(row.train_values).reshape(len(ids), -1)[order]),
-                                   DISTANCE_DIGITS)
-                best = np.argsort(squared, axis=1, kind="stable")[:, :k]
-                row_at, flat = np.repeat(np.arange(len(tests)), best.shape[1]), best.ravel()
-                yield pd.DataFrame({"scenario": row.scenario, "test_id": np.asarray(row.test_ids)[row_at],
-                                    "train_id": ids[flat], "label": labels[flat], "squared": squared[row_at, flat]})
-
-    found = joined.mapInPandas(best_of_pack, "scenario string, test_id long, train_id long, label int, squared double")
-    closest = Window.partitionBy("scenario", "test_id").orderBy("squared", "train_id")
-    return found.withColumn("place", F.row_number().over(closest)).filter(F.col("place") <= k)
+    near = nearest_rows(placed, max(counts))
+    used = F.explode(F.filter(F.array(*[F.lit(k) for k in counts]), lambda k: k >= F.col("place"))).alias("k")
+    row = ["scenario", "row_id", "label", "k"]
+    votes = near.select("scenario", "row_id", "label", used, "candidate").groupBy(*row, "candidate").agg(
+        F.count(F.lit(1)).alias("votes"))
+    winner = votes.groupBy(*row).agg(F.min_by("candidate", F.struct(-F.col("votes"), "candidate")).alias("prediction"))
+    return winner.select(*scenarios.named(scenario_types), "row_id", "label", "k", "prediction")
 
 
 def knn_predict(rows: DataFrame, scenario: list[str], k: int = NEIGHBOURS) -> DataFrame:
-    """Majority label of the k nearest train rows of every test row, within each scenario.
+    """Majority label of the k nearest train rows for a table that repeats its rows per scenario.
 
-    `rows` has the scenario columns, row_id, label, features and is_test. Features are scaled inside the
-    scenario's train rows. Ties between labels go to the smaller label.
+    `rows` has the scenario columns, row_id, label, features and is_test.
     """
-    name = F.concat_ws("|", *scenario).alias("scenario")
-    scaled = standardised(rows, scenario)
-    train = scaled.filter(~F.col("is_test")).select(
-        name, F.col("row_id").alias("train_id"), F.col("label").cast("int").alias("label"), "features")
-    test = scaled.filter("is_test").select(*scenario, name, F.col("row_id").alias("test_id"), "label", "features")
-    near = nearest_rows(test.select("scenario", "test_id", "features"), train, k)
-    votes = near.groupBy("scenario", "test_id", F.col("label").alias("candidate")).agg(
-        F.count(F.lit(1)).alias("votes"))
-    winner = votes.groupBy("scenario", "test_id").agg(
-        F.min_by("candidate", F.struct(-F.col("votes"), "candidate")).alias("prediction"))
-    return (test.drop("features").join(winner, ["scenario", "test_id"])
-            .select(*scenario, F.col("test_id").alias("row_id"), "label", "prediction"))
+    return predict_each(scenarios.gather(rows, scenario), scenarios.types_of(rows, scenario), [k]).drop("k")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomline.operators import evaluation, folds, models, neighbours
+from fathomline.operators import evaluation, folds, neighbours, scenarios
 from fathomline.plans import views
 from fathomline.sources import tables
 
@@ -31,9 +31,14 @@ def plain_folds(spark: SparkSession, folder: str) -> DataFrame:
     return folds.plain_folds(orders, ["o_orderkey"])
 
 
-def knn_predictions(spark: SparkSession, folder: str, k: int = neighbours.NEIGHBOURS) -> DataFrame:
+def knn_predictions(spark: SparkSession, folder: str, counts: tuple[int, ...] = (neighbours.NEIGHBOURS,),
+                    repeats: int = folds.REPEATS) -> DataFrame:
+    """Predictions of the repeated folds, for every number of neighbours from one search."""
     features = tables.embedding_features(spark, folder)
-    return neighbours.knn_predict(models.fold_scenarios(features, folds.stratified_folds(features)), ["repeat", "fold"], k)
+    members = scenarios.fold_members(folds.stratified_folds(features, repeats=repeats))
+    keys = ["repeat", "fold"]
+    return neighbours.predict_each(scenarios.place(features, members, keys), scenarios.types_of(members, keys),
+                                   list(counts))
 
 
 def knn_cv_accuracy(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,41 +57,42 @@ def knn_cv_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def confusion_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluation.confusion_matrix(knn_predictions(spark, folder).filter(F.col("repeat") == 0))
+    return evaluation.confusion_matrix(knn_predictions(spark, folder, repeats=1))
 
 
-def _nation_scores(spark: SparkSession, folder: str) -> DataFrame:
-    """Accuracy-like scores per (dataset, model, fold) from the order table: the share of urgent orders."""
-    orders = tables.table(spark, folder, "orders").select(
-        F.col("o_orderstatus").alias("dataset"), F.concat(F.lit("model "), F.pmod("o_custkey", F.lit(4))).alias("model"),
-        F.pmod("o_orderkey", F.lit(10)).cast("int").alias("fold"),
-        F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").cast("double").alias("hit"))
-    return orders.groupBy("dataset", "model", "fold").agg(F.round(F.avg("hit"), 4).alias("score"))
+def _knn_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Accuracy of neighbour models with different numbers of neighbours on the same folds."""
+    predicted = knn_predictions(spark, folder, NEIGHBOUR_COUNTS).withColumns(
+        {"dataset": F.lit("embeddings"), "model": F.format_string("KNN-%02d", "k")})
+    scores = evaluation.accuracy(predicted, ["dataset", "model", "repeat", "fold"])
+    return scores.withColumn("score", F.round("score", 9)).drop("n")
 
 
 def model_rank_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluation.model_pairs(_nation_scores(spark, folder))
+    return evaluation.model_pairs(_knn_scores(spark, folder))
 
 
 def significance_tests(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluation.significance_tests(_nation_scores(spark, folder), ["fold"], digits=6)
+    return evaluation.significance_tests(_knn_scores(spark, folder), ["repeat", "fold"], digits=6)
 
 
 def score_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluation.score_summary(_nation_scores(spark, folder), ["dataset", "model"], digits=6)
+    return evaluation.score_summary(_knn_scores(spark, folder), ["dataset", "model"], digits=6)
 
 
 def boxplot_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluation.box_summary(_nation_scores(spark, folder), ["dataset", "model"]).withColumns(
+    return evaluation.box_summary(_knn_scores(spark, folder), ["dataset", "model"]).withColumns(
         {c: F.round(c, 6) for c in ("q1", "median", "q3", "low", "high")})
 
 
 def knn_curve(spark: SparkSession, folder: str, fractions=FRACTIONS, seeds=SEEDS) -> DataFrame:
     features = tables.embedding_features(spark, folder)
-    rows = models.curve_scenarios(features, fractions, seeds)
-    sizes = rows.filter(~F.col("is_test")).groupBy("fraction", "seed").agg(F.count(F.lit(1)).alias("size"))
-    predicted = neighbours.knn_predict(rows, ["fraction", "seed"])
-    scores = evaluation.accuracy(predicted, ["fraction", "seed"]).join(sizes, ["fraction", "seed"])
+    members = scenarios.curve_members(features, fractions, seeds)
+    keys = ["fraction", "seed"]
+    sizes = members.filter(~F.col("is_test")).groupBy(*keys).agg(F.count(F.lit(1)).alias("size"))
+    predicted = neighbours.predict_each(scenarios.place(features, members, keys), scenarios.types_of(members, keys),
+                                        [neighbours.NEIGHBOURS])
+    scores = evaluation.accuracy(predicted, keys).join(sizes, keys)
     return evaluation.curve_summary(scores.withColumns({"dataset": F.lit("embeddings"), "model": F.lit("KNN")}))
 
 
@@ -95,11 +101,9 @@ def knn_learning_curve(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def samples_to_99pct(spark: SparkSession, folder: str) -> DataFrame:
-    """First size at which the running curve of each order status is within 1 % of its last value."""
-    curve = (tables.table(spark, folder, "orders").groupBy(
-        F.col("o_orderstatus").alias("dataset"), F.col("o_orderpriority").alias("model"),
-        F.year("o_orderdate").alias("size")).agg(F.round(F.avg("o_totalprice"), 0).alias("mean")))
-    return evaluation.samples_to_reach(curve)
+    """First train size whose mean accuracy is within 1 % of the final one."""
+    reached = evaluation.samples_to_reach(knn_curve(spark, folder))
+    return reached.withColumn("final_accuracy", F.round("final_accuracy", 6))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -149,8 +153,8 @@ subsamples AS (
     PARTITION BY fraction, seed, label))"""
 
 
-def knn_sql(scenario_rows: str, keys: str, k: int = 5) -> str:
-    """Brute force over `scenario_rows` (keys, row_id, label, features, is_test)."""
+def knn_sql(scenario_rows: str, keys: str, counts: tuple[int, ...] = (5,)) -> str:
+    """Brute force over `scenario_rows` (keys, row_id, label, features, is_test); one prediction per number k."""
     pairing = " AND ".join(f"a.{c.strip()} = b.{c.strip()}" for c in keys.split(","))
     named = ", ".join(f"a.{c.strip()}" for c in keys.split(","))
     return f"""parts AS (
@@ -165,26 +169,29 @@ scaled AS (
   FROM {scenario_rows} JOIN scales USING ({keys})),
 near AS (
   SELECT {named}, a.row_id, a.label, b.row_id AS train_id, b.label AS candidate,
-         round(list_distance(a.f, b.f) * list_distance(a.f, b.f), 9) AS d
+         round(list_distance(a.f, b.f) * list_distance(a.f, b.f), 9) AS d,
+         row_number() OVER (PARTITION BY {named}, a.row_id ORDER BY d, b.row_id) AS place
   FROM scaled a JOIN scaled b ON a.is_test AND NOT b.is_test AND {pairing}
-  QUALIFY row_number() OVER (PARTITION BY {named}, a.row_id ORDER BY d, b.row_id) <= {k}),
+  QUALIFY place <= {max(counts)}),
 predictions AS (
-  SELECT {keys}, row_id, label, candidate AS prediction FROM (
-    SELECT {keys}, row_id, label, candidate, count(*) AS votes FROM near GROUP BY ALL)
-  QUALIFY row_number() OVER (PARTITION BY {keys}, row_id ORDER BY votes DESC, candidate) = 1)"""
+  SELECT {keys}, row_id, label, k, candidate AS prediction FROM (
+    SELECT {keys}, row_id, label, k, candidate, count(*) AS votes
+    FROM near JOIN (SELECT unnest({list(counts)}) AS k) ON place <= k GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY {keys}, row_id, k ORDER BY votes DESC, candidate) = 1)"""
 
 
-_KNN = views.with_views(views.EMBEDDING_FEATURES, _FOLDS, """fold_rows AS (
+_FOLD_ROWS = """fold_rows AS (
   SELECT repeat, held AS fold, row_id, f.label, features, folds.fold = held AS is_test
-  FROM folds JOIN feature_rows f USING (row_id), (SELECT unnest([0, 1, 2, 3, 4]) AS held))""",
-                        knn_sql("fold_rows", "repeat, fold"))
+  FROM folds JOIN feature_rows f USING (row_id), (SELECT unnest([0, 1, 2, 3, 4]) AS held))"""
+_KNN = views.with_views(views.EMBEDDING_FEATURES, _FOLDS, _FOLD_ROWS, knn_sql("fold_rows", "repeat, fold"))
 _SCORED = """fold_scores AS (
   SELECT repeat, fold, avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) AS score, count(*) AS n
   FROM predictions GROUP BY ALL)"""
-_NATION_SCORES = """scores AS (
-  SELECT o_orderstatus AS dataset, 'model ' || (o_custkey % 4) AS model, CAST(o_orderkey % 10 AS INTEGER) AS fold,
-         round(avg(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1.0 ELSE 0.0 END), 4) AS score
-  FROM orders GROUP BY ALL)"""
+_KNN_SCORES = (views.EMBEDDING_FEATURES, _FOLDS, _FOLD_ROWS, knn_sql("fold_rows", "repeat, fold", NEIGHBOUR_COUNTS),
+               """scores AS (
+  SELECT 'embeddings' AS dataset, printf('KNN-%02d', k) AS model, repeat, fold,
+         round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 9) AS score
+  FROM predictions GROUP BY ALL)""")
 _PAIRS = """means AS (SELECT dataset, model, round(avg(score), 12) AS mean FROM scores GROUP BY ALL),
 placed AS (
   SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY mean DESC, model) AS place,
@@ -198,7 +205,8 @@ pairs AS (
 _SIGNED = """gaps AS (
   SELECT p.*, round(a.score - b.score, 12) AS gap FROM pairs p
   JOIN scores a ON a.dataset = p.dataset AND a.model = best
-  JOIN scores b ON b.dataset = p.dataset AND b.model = other AND a.fold = b.fold),
+  JOIN scores b ON b.dataset = p.dataset AND b.model = other 
+    AND a.repeat = b.repeat AND a.fold = b.fold),
 gap_means AS (SELECT dataset, pair, best, other, avg(gap) AS diff_mean FROM gaps GROUP BY ALL),
 ranked AS (
   SELECT dataset, pair, gap, rank() OVER (PARTITION BY dataset, pair ORDER BY abs(gap))
@@ -212,6 +220,22 @@ tails AS (
   SELECT dataset, pair, least(1.0, 2 * least(avg(CAST(w <= plus AS DOUBLE)), avg(CAST(w >= plus AS DOUBLE)))) AS p
   FROM possible GROUP BY ALL)"""
 
+_KNN_CURVE = views.with_views(
+    views.EMBEDDING_FEATURES, _HOLDOUT, "train_rows AS (SELECT row_id, label FROM split WHERE NOT is_test)",
+    _subsamples("train_rows"), f"""scenario_rows AS (
+  SELECT fraction, seed, row_id, s.label, features, false AS is_test
+  FROM subsamples s JOIN feature_rows USING (row_id)
+  UNION ALL
+  SELECT fraction, seed, row_id, split.label, features, true
+  FROM split JOIN feature_rows USING (row_id), {_SCENARIOS} WHERE is_test)""",
+    knn_sql("scenario_rows", "fraction, seed"), """curve_scores AS (
+  SELECT fraction, seed, avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) AS score
+  FROM predictions GROUP BY ALL),
+sizes AS (SELECT fraction, seed, count(*) AS size FROM subsamples GROUP BY ALL),
+curve AS (
+  SELECT 'embeddings' AS dataset, 'KNN' AS model, size, avg(score) AS mean, stddev_pop(score) AS std
+  FROM curve_scores JOIN sizes USING (fraction, seed) GROUP BY size)""")
+
 ORACLE = {
     "stratified_folds": views.with_views(views.EMBEDDING_FEATURES, _FOLDS)
     + "SELECT row_id, label, repeat, fold FROM folds",
@@ -229,14 +253,14 @@ ORACLE = {
              (SELECT count(DISTINCT label) FROM embeddings) AS n_classes FROM fold_scores""",
     "confusion_matrix": _KNN + """
       SELECT label, prediction, count(*) AS n FROM predictions WHERE repeat = 0 GROUP BY ALL""",
-    "model_rank_pairs": views.with_views(_NATION_SCORES, _PAIRS) + "SELECT dataset, pair, best, other FROM pairs",
-    "significance_tests": views.with_views(_NATION_SCORES, _PAIRS, _SIGNED) + """
+    "model_rank_pairs": views.with_views(*_KNN_SCORES, _PAIRS) + "SELECT dataset, pair, best, other FROM pairs",
+    "significance_tests": views.with_views(*_KNN_SCORES, _PAIRS, _SIGNED) + """
       SELECT dataset, pair, best, other, round(diff_mean, 6) AS diff_mean, round(p, 6) AS wilcoxon_p,
              p < 0.05 AS significant_at_0_05 FROM gap_means JOIN tails USING (dataset, pair)""",
-    "score_summary": views.with_views(_NATION_SCORES) + """
+    "score_summary": views.with_views(*_KNN_SCORES) + """
       SELECT dataset, model, round(avg(score), 6) AS accuracy_mean, round(stddev_pop(score), 6) AS accuracy_std
       FROM scores GROUP BY ALL""",
-    "boxplot_stats": views.with_views(_NATION_SCORES) + """, boxes AS (
+    "boxplot_stats": views.with_views(*_KNN_SCORES) + """, boxes AS (
         SELECT dataset, model, quantile_cont(score, 0.25) AS q1, quantile_cont(score, 0.5) AS median,
                quantile_cont(score, 0.75) AS q3 FROM scores GROUP BY ALL),
       marked AS (
@@ -245,27 +269,12 @@ ORACLE = {
       SELECT dataset, model, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
              round(min(score) FILTER (inside), 6) AS low, round(max(score) FILTER (inside), 6) AS high,
              count(*) FILTER (NOT inside) AS outliers FROM marked GROUP BY dataset, model, q1, median, q3""",
-    "knn_learning_curve": views.with_views(
-        views.EMBEDDING_FEATURES, _HOLDOUT, "train_rows AS (SELECT row_id, label FROM split WHERE NOT is_test)",
-        _subsamples("train_rows"), f"""scenario_rows AS (
-          SELECT fraction, seed, row_id, s.label, features, false AS is_test
-          FROM subsamples s JOIN feature_rows USING (row_id)
-          UNION ALL
-          SELECT fraction, seed, row_id, split.label, features, true
-          FROM split JOIN feature_rows USING (row_id), {_SCENARIOS} WHERE is_test)""",
-        knn_sql("scenario_rows", "fraction, seed"), """curve_scores AS (
-          SELECT fraction, seed, avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) AS score
-          FROM predictions GROUP BY ALL),
-        sizes AS (SELECT fraction, seed, count(*) AS size FROM subsamples GROUP BY ALL)""") + """
-      SELECT 'embeddings' AS dataset, 'KNN' AS model, size, round(avg(score), 6) AS mean,
-             round(stddev_pop(score), 6) AS std FROM curve_scores JOIN sizes USING (fraction, seed) GROUP BY size""",
-    "samples_to_99pct": """
-      WITH curve AS (
-        SELECT o_orderstatus AS dataset, o_orderpriority AS model, CAST(year(o_orderdate) AS INTEGER) AS size,
-               round(avg(o_totalprice), 0) AS mean FROM orders GROUP BY ALL),
-      final AS (
+    "knn_learning_curve": _KNN_CURVE + """
+      SELECT dataset, model, size, round(mean, 6) AS mean, round(std, 6) AS std FROM curve""",
+    "samples_to_99pct": _KNN_CURVE + """, final AS (
         SELECT dataset, model, arg_max(mean, size) AS final_accuracy, max(size) AS last FROM curve GROUP BY ALL)
-      SELECT dataset, model, final_accuracy,
-             coalesce(min(size) FILTER (mean >= final_accuracy * 0.99::DOUBLE), any_value(last)) AS samples
+      SELECT dataset, model, round(final_accuracy, 6) AS final_accuracy,
+             coalesce(min(size) FILTER (round(mean, 12) >= round(final_accuracy * 0.99::DOUBLE, 12)), any_value(last))
+               AS samples
       FROM curve JOIN final USING (dataset, model) GROUP BY ALL""",
 }

@@ -10,14 +10,11 @@ from fathomline.plans import rollups
 from fathomline.plans.comparisons import FRACTIONS, SEEDS
 from fathomline.sources import tables
 
-# The library defaults (300 trees, 100 and 200 boosting rounds) suit large tables; on the small tables of the check
-# a round costs scheduling time only, so the registered queries train smaller ensembles on the same whole tables.
-TREES, ROUNDS = 40, 15
 SERIES_CITIES = ["NATION_1", "NATION_7", "NATION_19"]
 
 
 def _cross_validation(spark: SparkSession, folder: str) -> DataFrame:
-    return models.cross_validation(tables.quality_features(spark, folder), models.classifiers(TREES, ROUNDS), "quality")
+    return models.cross_validation(tables.quality_features(spark, folder), models.classifiers(), "quality")
 
 
 def bench_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,28 +26,24 @@ def bench_table(spark: SparkSession, folder: str) -> DataFrame:
         {c: shape.select(c).scalar() for c in ("n_samples", "n_features", "n_classes")})
 
 
-def _simple_models() -> dict:
-    return {name: build for name, build in models.classifiers().items() if name in ("LogReg", models.KNN)}
-
-
 def embedding_bench(spark: SparkSession, folder: str) -> DataFrame:
-    """The multi-class matrix with the models that need one fit whatever the number of classes."""
+    """The five models on the multi-class matrix; those for two classes are fitted one class against the rest."""
     features = tables.embedding_features(spark, folder)
-    return evaluation.score_summary(models.cross_validation(features, _simple_models(), "embeddings"),
+    return evaluation.score_summary(models.cross_validation(features, models.classifiers(), "embeddings"),
                                     ["dataset", "model"])
 
 
 def holdout_best(spark: SparkSession, folder: str) -> DataFrame:
     """Confusion counts of the best model on the stratified hold-out."""
     features = tables.embedding_features(spark, folder)
-    predicted = models.holdout_best(features, _simple_models(), "embeddings")
+    predicted = models.holdout_best(features, models.classifiers(), "embeddings")
     return evaluation.confusion_matrix(predicted, ["model"])
 
 
 def learning_curve(spark: SparkSession, folder: str) -> DataFrame:
-    """Four models, six train sizes, two seeds on one fixed hold-out."""
-    chosen = {name: build for name, build in models.classifiers(TREES).items() if name != "GBDT"}
-    curve = models.learning_curve(tables.quality_features(spark, folder), chosen, "quality", FRACTIONS, SEEDS[:2])
+    """Four models, six train sizes, five seeds on one fixed hold-out."""
+    chosen = {name: build for name, build in models.classifiers(models.CURVE_TREES).items() if name != "GBDT"}
+    curve = models.learning_curve(tables.quality_features(spark, folder), chosen, "quality", FRACTIONS, SEEDS)
     return curve.withColumns({c: F.round(c, 4) for c in ("mean", "std")})
 
 
@@ -62,7 +55,7 @@ def month_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def regression_scores(spark: SparkSession, folder: str) -> DataFrame:
     """R², error and gain over the month-only baseline of four models, from pooled out-of-fold predictions."""
-    predicted = models.out_of_fold(month_rows(spark, folder), models.regressors(TREES, ROUNDS))
+    predicted = models.out_of_fold(month_rows(spark, folder), models.regressors())
     scores = evaluation.gain_over_baseline(evaluation.regression_scores(predicted, ["model"]), "month only")
     return scores.select("model", F.round("r2", 3).alias("r2"), F.round("mae", 2).alias("mae"),
                          F.round("gain_pp", 1).alias("gain_pp"))

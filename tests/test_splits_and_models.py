@@ -53,8 +53,7 @@ def test_subsamples_have_the_exact_sizes(labelled):
 
 
 def test_neighbours_equal_brute_force_with_many_copies(spark, monkeypatch):
-    monkeypatch.setattr(neighbours, "PACK_ROWS", 16)
-    monkeypatch.setattr(neighbours, "PIVOTS", 7)
+    monkeypatch.setattr(neighbours, "TILE_ROWS", 16)
     draw = np.random.default_rng(3)
     points = draw.normal(size=(240, 4)).round(1)
     points[::3] = points[0]
