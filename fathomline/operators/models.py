@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fathomline.operators import evaluation, folds, neighbours, scenarios
+from fathomline.session import cut_lineage
 
 SEED = 42
 # Model settings.
@@ -82,7 +83,8 @@ def _scaler(n: int, width: int) -> list:
 
 
 def _one_per_class(classifier, classes: int):
-    return classifier if classes == 2 else OneVsRest(classifier=classifier, featuresCol=classifier.getFeaturesCol())
+    return classifier if classes == 2 else OneVsRest(
+        classifier=classifier, featuresCol=classifier.getFeaturesCol(), parallelism=FITS_AT_ONCE)
 
 
 def classifiers(trees: int = BENCH_TREES, rounds: int = BOOST_ROUNDS) -> dict[str, Callable | None]:
@@ -126,10 +128,11 @@ def scenario_scores(rows: DataFrame, scenario: list[str], models: dict[str, Call
 def placed_scores(placed: DataFrame, scenario_types: T.StructType, models: dict[str, Callable | None]) -> DataFrame:
     """Accuracy of every model in every scenario: scenario columns, model, score, train_rows.
 
-    `placed` is a table of `scenarios.place`: one copy of the rows serves all fits, each of which filters it.
+    `placed` is a table of `scenarios.place`: one copy of the rows serves all fits, each of which filters it. It is
+    written in partitions of Spark's advisory size, as every step of an optimiser is a job over all of them.
     """
     spark = placed.sparkSession
-    rows = with_vector(placed).persist()
+    rows = cut_lineage(with_vector(placed).hint("rebalance"))
     shapes = scenarios.train_shapes(rows).collect()
 
     def fit_one(name: str, shape) -> Callable:
@@ -143,11 +146,10 @@ def placed_scores(placed: DataFrame, scenario_types: T.StructType, models: dict[
 
     tasks = [fit_one(name, shape) for name in models if models[name] is not None for shape in shapes]
     scores = spark.createDataFrame(in_parallel(tasks, spark), "scenario string, model string, score double, train_rows long")
-    rows.unpersist()
     if KNN in models:
         sizes = spark.createDataFrame([(r["scenario"], r["n"]) for r in shapes], "scenario string, train_rows long")
         sizes = sizes.select(*scenarios.named(scenario_types), "train_rows")
-        predicted = neighbours.predict_each(placed, scenario_types, [neighbours.NEIGHBOURS])
+        predicted = neighbours.predict_each(rows.drop("vector"), scenario_types, [neighbours.NEIGHBOURS])
         near = evaluation.accuracy(predicted, scenario_types.names).join(F.broadcast(sizes), scenario_types.names)
         return scores.select(*scenarios.named(scenario_types), "model", "score", "train_rows").unionByName(
             near.select(*scenario_types.names, F.lit(KNN).alias("model"), "score", "train_rows"))
@@ -172,11 +174,11 @@ def holdout_best(features: DataFrame, models: dict[str, Callable | None], datase
         return named.select("row_id", F.lit(best).alias("model"), F.col("label").cast("int").alias("label"),
                             F.col("prediction").cast("int").alias("prediction"))
     rows = with_vector(rows)
-    train = rows.filter(~F.col("is_test")).persist()
+    rows = cut_lineage(rows.hint("rebalance"))
+    train = rows.filter(~F.col("is_test"))
     shape = train.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("width"),
                       F.count_distinct("label").alias("classes")).first()
     fitted = models[best](shape["n"], shape["width"], max(2, shape["classes"])).fit(train)
-    train.unpersist()
     return fitted.transform(rows.filter("is_test")).select(
         "row_id", F.lit(best).alias("model"), F.col("label").cast("int").alias("label"),
         F.col("prediction").cast("int").alias("prediction"))
@@ -227,7 +229,7 @@ def out_of_fold(rows: DataFrame, models: dict[str, tuple[str, Estimator]]) -> Da
     `rows` has city, ym, target, the vector columns and fold. The row keys travel through `transform`, so
     predictions need no join back to their rows.
     """
-    rows = rows.persist()
+    rows = cut_lineage(rows.hint("rebalance"))
     held_out = sorted(r["fold"] for r in rows.select("fold").distinct().collect())
 
     def fit_one(name: str, fold: int) -> Callable:
