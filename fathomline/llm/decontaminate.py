@@ -158,13 +158,21 @@ def _union(batches):
 
 
 def _blocks(benchmark: DataFrame, item_column: str, text_column: str, window: int, block_chars: int):
-    """Broadcasts of (item, words), one for each block of about `block_chars` bytes; one empty block if there is no text."""
+    """Number of blocks, and a function that broadcasts (item, words) of one of them, about `block_chars` bytes.
+
+    One empty block if there is no text. Pieces of several blocks are cut once and written; each read takes one block.
+    """
     items = pick(benchmark, {"item": (item_column, "string"), "text": (text_column, "binary")}).fillna("", ["item"])
     blocks = 1 + (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_chars
     pieces = items.mapInArrow(_pieces(window), _PIECES).distinct()
-    for block in range(blocks):
-        rows = pieces.filter(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == block).collect()
-        yield benchmark.sparkSession.sparkContext.broadcast([(r.item, bytes(r.words)) for r in rows])
+    dealt = pieces.withColumn("block", F.pmod(F.xxhash64("item", "words"), F.lit(blocks)))
+    if blocks > 1:
+        dealt = landed(dealt, "benchmark-pieces")
+
+    def share(block: int):
+        rows = dealt.filter(F.col("block") == block).select("item", "words").collect()
+        return benchmark.sparkSession.sparkContext.broadcast([(r.item, bytes(r.words)) for r in rows])
+    return blocks, share
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -174,16 +182,24 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "
 
     Benchmark text is cut into blocks of bounded size. Each block is one pass over the documents: its tables go to the
     tasks by a broadcast of that bound, every document is searched as a whole where it is read, and nothing but hits
-    comes out. With several blocks, hits are joined by id and digest of the text. Benchmarks of one block need no shuffle.
+    comes out. Benchmarks of one block need no shuffle. With several blocks, the hits of a pass are written before its
+    broadcast is given up and the next block is read, so the driver holds one block at a time; the hits are joined by id
+    and digest of the text.
 
     Null or empty texts have no words and no hits; an item without words has no window; a null item id counts as the
     empty string. Repeated documents each get their row, repeated items count once by id. An empty benchmark hits
     nothing. Ties can't arise: the result doesn't depend on order.
     """
-    tables = list(_blocks(benchmark, item_column, item_text_column, window, block_chars))
-    blocks = len(tables)
+    blocks, share = _blocks(benchmark, item_column, item_text_column, window, block_chars)
     texts = pick(docs, {"id": (id_column, "long"), "text": (text_column, "binary")})
-    passes = [texts.mapInArrow(_scan(shared, window, blocks > 1), _FOUND_SQL) for shared in tables]
+    passes = []
+    for block in range(blocks):
+        shared = share(block)
+        found = texts.mapInArrow(_scan(shared, window, blocks > 1), _FOUND_SQL)
+        if blocks > 1:
+            found = landed(found, "benchmark-hits")
+            shared.destroy()
+        passes.append(found)
     found = passes[0]
     if blocks > 1:
         for other in passes[1:]:
@@ -210,12 +226,18 @@ def _clean(shared, window: int, text_column: str):
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_column: str = "item_id",
                       item_text_column: str = "text", window: int = WINDOW_WORDS,
                       block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Documents without any hit, with the columns of `docs`; each block of the benchmark filters what the last left."""
+    """Documents without any hit, with the columns of `docs`; see find_contamination.
+
+    Each block of the benchmark filters what the last one left, which is written in between.
+    """
     at = docs.columns.index(text_column)
     plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
     rows = plain.withColumn("x_text", F.col(f"c{at}").cast("binary"))
-    for number, shared in enumerate(_blocks(benchmark, item_column, item_text_column, window, block_chars)):
-        if number and number % 4 == 0:
-            rows = landed(rows, "decontaminated")
+    blocks, share = _blocks(benchmark, item_column, item_text_column, window, block_chars)
+    for block in range(blocks):
+        shared = share(block)
         rows = rows.mapInArrow(_clean(shared, window, "x_text"), rows.schema)
+        if block < blocks - 1:
+            rows = landed(rows, "decontaminated")
+            shared.destroy()
     return rows.drop("x_text").toDF(*docs.columns)
