@@ -52,6 +52,15 @@ def mann_whitney_season(spark: SparkSession, folder: str) -> DataFrame:
         "group", "n1", "n2", "u", F.round("z", 6).alias("z"), F.round("p", 6).alias("p"))
 
 
+def mann_whitney_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Monthly means of each city and year, heating months against the others: small samples, so the exact distribution."""
+    date = F.col("date")
+    monthly = (tables.city_daily(spark, folder).groupBy("city", F.year(date).alias("year"), F.month(date).alias("month"))
+               .agg(F.avg("pm25").alias("pm25"), F.first(heating_season(date)).alias("heating")))
+    tested = ranktests.mann_whitney(monthly, ["city", "year"], "pm25", "heating").filter("n1 > 0 and n2 > 0")
+    return tested.select("city", "year", "n1", "n2", "u", F.round("p", 6).alias("p"))
+
+
 def paired_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Mean of two years per city, paired by city within a region."""
     year = F.year("date")
@@ -77,7 +86,7 @@ def wilcoxon_months(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    conversion_counts, required_n, ztest_segments, analytic_power, aa_replay, mann_whitney_season, wilcoxon_pairs,
+    conversion_counts, required_n, ztest_segments, analytic_power, aa_replay, mann_whitney_season, mann_whitney_exact, wilcoxon_pairs,
     wilcoxon_months)}
 
 _COUNTS = """counts AS (
@@ -152,6 +161,21 @@ ORACLE = {
         SELECT *, (abs(u - n1 * n2 / 2) - 0.5::DOUBLE)
                / sqrt(n1::DOUBLE * n2 / 12 * (n + 1 - ties / (n::DOUBLE * (n - 1)))) AS z FROM scored)""") + f"""
       SELECT "group", n1, n2, u, round(z, 6) AS z, round(least({views.two_sided_p_sql('z')}, 1.0), 6) AS p FROM zs""",
+    "mann_whitney_exact": views.with_views(views.CITY_DAILY, """monthly AS (
+        SELECT city, year(date) AS year, month(date) AS month, month(date) IN (11, 12, 1, 2, 3) AS heating,
+               avg(pm25) AS v FROM city_daily GROUP BY ALL),
+      ranked AS (SELECT *, rank() OVER (PARTITION BY city, year ORDER BY v) AS r FROM monthly),
+      sums AS (
+        SELECT city, year, count(*) FILTER (heating) AS n1, count(*) FILTER (NOT heating) AS n2,
+               sum(r) FILTER (heating) - n1 * (n1 + 1) / 2 AS u FROM ranked GROUP BY city, year),
+      sizes AS (SELECT DISTINCT n1, n2 FROM sums WHERE n1 > 0 AND n2 > 0),
+      masks AS (SELECT n1, n2, unnest(range(CAST(2 ** (n1 + n2) AS BIGINT))) AS mask FROM sizes),
+      possible AS (
+        SELECT n1, n2, list_sum([i * ((mask >> (i - 1)) % 2) for i in range(1, n1 + n2 + 1)]) - n1 * (n1 + 1) / 2 AS w
+        FROM masks WHERE bit_count(mask) = n1)""") + """
+      SELECT city, year, n1, n2, any_value(u) AS u,
+             round(least(1.0::DOUBLE, 2 * avg(CAST(w >= greatest(u, n1 * n2 - u) AS DOUBLE))), 6) AS p
+      FROM sums JOIN possible USING (n1, n2) GROUP BY city, year, n1, n2""",
     "wilcoxon_pairs": views.with_views(views.CITY_DAILY, """pairs AS (
         SELECT "group", city, round(avg(pm25) FILTER (year(date) = 1996), 1) AS first,
                round(avg(pm25) FILTER (year(date) = 1997), 1) AS second FROM city_daily GROUP BY ALL)""",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fathomline.functions.columns import columns_with_prefix, month_label, numeric_columns
 from fathomline.operators import features, rollup
 from fathomline.plans import views
+from fathomline.session import new_shared_folder
 from fathomline.sources import files, landing, tables
 
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
@@ -43,8 +44,9 @@ def table_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def month_group_pivot(spark: SparkSession, folder: str) -> DataFrame:
-    pivoted = rollup.month_group_pivot(tables.city_daily(spark, folder), REGIONS, digits=8)
-    return pivoted.withColumnsRenamed({r: r.lower().replace(" ", "_") for r in REGIONS})
+    groups = features.levels_of(tables.table(spark, folder, "region"), "r_name")
+    pivoted = rollup.month_group_pivot(tables.city_daily(spark, folder), groups, digits=8)
+    return pivoted.withColumnsRenamed({g: g.lower().replace(" ", "_") for g in groups})
 
 
 def season_ratio(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,6 +96,12 @@ def landed_first(spark: SparkSession, folder: str) -> DataFrame:
         "cache_key", "url", "fetched_at", F.md5("payload").alias("payload_md5"))
 
 
+def landed_ties(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages fetched twice at the same time: one response per address stays."""
+    tied = tables.landed_pages(spark, folder).withColumn("fetched_at", F.length("url") % 7)
+    return landing.stored_payloads(tied).select("cache_key", "url", "fetched_at")
+
+
 def request_urls(spark: SparkSession, folder: str) -> DataFrame:
     pages = tables.table(spark, folder, "pages")
     title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
@@ -106,23 +114,52 @@ def request_urls(spark: SparkSession, folder: str) -> DataFrame:
     return pages.select("page_id", request.alias("request_url"), landing.cache_key(request).alias("cache_key"))
 
 
-def json_inline(spark: SparkSession, folder: str) -> DataFrame:
-    """Pack readings into response documents of bounded size, parse them as JSON and flatten them again."""
-    readings = tables.station_hourly(spark, folder)
+def _responses(readings: DataFrame) -> DataFrame:
+    """Response documents of bounded size: city, hourly (parallel arrays)."""
     reading = F.struct(F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("time"),
                        F.col("pm25").alias("pm2_5"), "pm10")
     packed = (readings.groupBy("city", F.floor(F.col("event_id") / READINGS_PER_RESPONSE).alias("request"))
               .agg(F.collect_list(reading).alias("h")))
     hourly = F.struct(*[F.col(f"h.{name}").alias(name) for name in ("time", "pm2_5", "pm10")])
-    documents = packed.select(F.to_json(F.struct("city", hourly.alias("hourly"))).alias("body"))
+    return packed.select("city", hourly.alias("hourly"))
+
+
+def json_inline(spark: SparkSession, folder: str) -> DataFrame:
+    """Pack readings into response documents of bounded size, parse them as JSON and flatten them again."""
+    documents = _responses(tables.station_hourly(spark, folder)).select(F.to_json(F.struct("city", "hourly")).alias("body"))
     parsed = documents.select(F.from_json("body", files.RESPONSE_SCHEMA).alias("doc")).select("doc.*")
     return files.hourly_rows(parsed)
 
 
+def csv_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily values written as CSV files and read back with their declared types."""
+    daily = tables.city_daily(spark, folder)
+    path = new_shared_folder(spark, "daily-csv")
+    files.write_csv(daily.select("city", "date", "pm25", F.lit(None).cast("double").alias("pm10"), "group"), path)
+    return files.read_csv(spark, path, files.DAILY_SCHEMA).withColumn("pm25", F.round("pm25", 8))
+
+
+def response_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Readings packed into response documents, written as JSON files and read back as hours."""
+    path = new_shared_folder(spark, "responses")
+    files.write_json(_responses(tables.station_hourly(spark, folder)), path)
+    return files.read_responses(spark, path)
+
+
+def report_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The ranking and the shares above a limit as one nested report, written as JSON and read back flat."""
+    path = new_shared_folder(spark, "report")
+    ranking, shares = station_ranking(spark, folder), exceed_share_daily(spark, folder)
+    files.write_json(files.nested_report(ranking, shares, "daily means"), path)
+    report = spark.read.json(path)
+    ranked = report.select("protocol", F.explode("results").alias("r")).select("protocol", "r.*")
+    return ranked.join(report.select(F.explode("significance_tests").alias("s")).select("s.*"), "city")
+
+
 QUERIES = {f.__name__: f for f in (
     daily_rollup, valid_rate, station_ranking, ranking_ends, table_profile, month_group_pivot, season_ratio,
     season_flag_means, exceed_share, exceed_share_daily, city_month_features, one_hot_city, landed_latest,
-    landed_first, request_urls, json_inline)}
+    landed_first, landed_ties, request_urls, json_inline, csv_files, response_files, report_files)}
 
 _daily = views.with_views(views.CITY_DAILY)
 _hourly = views.with_views(views.STATION_HOURLY)
@@ -184,6 +221,8 @@ ORACLE = {
     "landed_first": _landed + """
       SELECT substr(sha1(url), 1, 20) AS cache_key, url, fetched_at, md5(payload) AS payload_md5 FROM landed
       QUALIFY row_number() OVER (PARTITION BY substr(sha1(url), 1, 20) ORDER BY fetched_at) = 1""",
+    "landed_ties": _landed + """
+      SELECT substr(sha1(url), 1, 20) AS cache_key, url, max(length(url) % 7) AS fetched_at FROM landed GROUP BY url""",
     "request_urls": """
       WITH parts AS (
         SELECT page_id, regexp_extract(url, '^[^?#]*', 0) AS base,
@@ -193,4 +232,10 @@ ORACLE = {
                || replace(url_encode(split_part(title, ' ', 1)), '%20', '+') AS request_url FROM parts)
       SELECT page_id, request_url, substr(sha1(request_url), 1, 20) AS cache_key FROM requests""",
     "json_inline": _hourly + "SELECT city, time, pm25, pm10 FROM station_hourly",
+    "response_files": _hourly + "SELECT city, time, pm25, pm10 FROM station_hourly",
+    "csv_files": _daily + """SELECT city, date, round(pm25, 8) AS pm25, CAST(NULL AS DOUBLE) AS pm10, "group" FROM city_daily""",
+    "report_files": _daily + """
+      SELECT 'daily means' AS protocol, city, "group", round(avg(pm25), 1) AS annual_pm25,
+             round(count(*) FILTER (pm25 > 250) * 100.0 / count(*), 6) AS exceed_percent
+      FROM city_daily GROUP BY ALL""",
 }

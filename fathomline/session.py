@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
+def shared_top(spark: SparkSession) -> str:
+    """The shared folder that the cluster names, or one below the warehouse where it names none."""
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getConf().get(CHECKPOINT_SETTING)
+    return folder.rstrip("/") if folder else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+
+
+def new_shared_folder(spark: SparkSession, what: str) -> str:
+    """Path of a folder of its own for files that driver and executors both see."""
+    return f"{shared_top(spark)}/{what}-{uuid.uuid4().hex}"
+
+
 def use_checkpoint_dir(spark: SparkSession) -> None:
-    """Point the context at the shared folder the cluster names, or below the warehouse where it names none."""
+    """Point the context at the shared folder."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get(CHECKPOINT_SETTING, None) or context.getConf().get(CHECKPOINT_SETTING)
-    if not folder:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
-    context.setCheckpointDir(folder)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_top(spark))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
