@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.llm.common import landed, small_or_shuffled
+from fathomline.llm.components import components
 from fathomline.llm.spans import described, digits_of, found, found_if
 
 KINDS = ("email", "ip", "card", "phone")
@@ -24,6 +25,9 @@ _OCTET = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})$"
 #: A term: letters and digits, beginning with a letter.
 TERM = r"\p{L}[\p{L}\p{N}]++"
 
+#: Near copies of a context are proposed by so many bands of so many MinHash values: 0.9996 at a similarity of 0.6.
+BANDS, BAND_HASHES = 32, 3
+
 
 def _luhn(number: Column) -> Column:
     """Luhn sum of a digit string is a multiple of ten."""
@@ -62,7 +66,27 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
 
-def disclosing_terms(rows: DataFrame, context_chars: int = 80, min_contexts: int = 3, max_repetition: float = 0.5,
+def near_copy_groups(passages: DataFrame, near_copy: float) -> DataFrame:
+    """place, group for the contexts (place, entity, terms) that have a near copy among the contexts of their entity.
+
+    Near copies share `near_copy` or more of all their distinct words; what near copies connect is one group. Contexts of an
+    entity that agree in a band meet its smallest one and are compared with it word by word, so there are never pairs.
+    """
+    def band(t: Column) -> Column:
+        return F.xxhash64("entity", t, F.transform(F.sequence(F.lit(0), F.lit(BAND_HASHES - 1)), lambda k: F.array_min(
+            F.transform("terms", lambda term: F.xxhash64(t, k, term)))))
+
+    bands = landed(passages.filter(F.size("terms") > 0).select("place", F.explode(
+        F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band)).alias("band")), "context-bands")
+    first = bands.groupBy("band").agg(F.min("place").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    met = bands.join(first, "band").filter("place <> first").select("place", "first").distinct()
+    links = (met.join(passages.select("place", "terms"), "place")
+             .join(passages.select(F.col("place").alias("first"), F.col("terms").alias("others")), "first")
+             .filter(F.size(F.array_intersect("terms", "others")) >= near_copy * F.size(F.array_union("terms", "others"))))
+    return components(links.select(F.col("place").alias("u"), F.col("first").alias("v"))).toDF("place", "group")
+
+
+def disclosing_terms(rows: DataFrame, context_chars: int = 80, min_contexts: int = 3, near_copy: float = 0.6,
                      generalise: float = 0.7, remove: float = 0.9) -> DataFrame:
     """Terms that reveal a protected entity, with what to do about them: term, action, disclosure.
 
@@ -70,9 +94,9 @@ def disclosing_terms(rows: DataFrame, context_chars: int = 80, min_contexts: int
     `context_chars` on either side, without cut words and without other identifiers. Over the whole corpus, with N documents, d(t) of them with
     term t, d(e) with entity e and d(t, e) with t in a context of e, the disclosure of t is PMI(t; e) / IC(e) =
     log(d(t, e) N / (d(t) d(e))) / log(N / d(e)): 1 where the term never occurs without the entity, 0 where they are
-    independent. A term counts only with `min_contexts` different contexts of the entity, so that copies of one passage
-    say nothing; nor does an entity in edited copies of one, whose contexts share more than `max_repetition` of their
-    words on average. From `remove` on it is removed, from `generalise` on generalised; its strongest entity decides.
+    independent. A term counts only with `min_contexts` different contexts of the entity, where copies and edited copies of
+    one passage (see near_copy_groups) are one context: they say nothing. From `remove` on it is removed, from `generalise`
+    on generalised; its strongest entity decides.
 
     All counts are sums combined in the tasks before the shuffle; contexts are de-duplicated by their digest first.
     """
@@ -84,19 +108,19 @@ def disclosing_terms(rows: DataFrame, context_chars: int = 80, min_contexts: int
            .select("row", F.concat_ws(":", "entity.kind", F.lower(
                F.when(F.col("entity.kind").isin("card", "phone"), digits_of(F.col("entity.found")))
                .otherwise(F.col("entity.found")))).alias("entity"), "context"))
-    contexts = landed(one.select("row", "entity", F.xxhash64("context").alias("place"), _terms(F.col("context")).alias("terms")),
-                      "contexts")
+    contexts = landed(one.select("row", "entity", F.xxhash64("entity", "context").alias("place"),
+                                 _terms(F.col("context")).alias("terms")), "contexts")
     entity_docs = contexts.groupBy("entity", "row").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count("*").alias("d_e"))
     # Entities of fewer contexts can't have a term of enough: they leave before the terms are spread out.
     frequent = (contexts.groupBy("entity", "place").agg(F.lit(1).alias("one")).groupBy("entity")
                 .agg(F.count("*").alias("contexts")).filter(F.col("contexts") >= min_contexts))
-    spread = contexts.join(frequent, "entity", "left_semi").select("row", "entity", "place", F.explode("terms").alias("term"))
-    support = (spread.groupBy("term", "entity", "place").agg(F.lit(1).alias("one")).groupBy("term", "entity")
-               .agg(F.count("*").alias("places")))
-    # Share of an entity's contexts in which a word of its contexts stands, on average: near 1 for an edited passage.
-    varied = (support.groupBy("entity").agg(F.sum(F.col("places") * F.col("places")).alias("squares"), F.sum("places").alias("all"))
-              .join(frequent, "entity").filter(F.col("squares") <= max_repetition * F.col("all") * F.col("contexts")).select("entity"))
-    support = (support.filter(F.col("places") >= min_contexts).join(varied, "entity", "left_semi").select("term", "entity"))
+    contexts = landed(contexts.join(frequent, "entity", "left_semi"), "frequent-contexts")
+    passages = landed(contexts.groupBy("place").agg(F.first("entity").alias("entity"), F.first("terms").alias("terms")), "passages")
+    groups = landed(near_copy_groups(passages, near_copy), "near-contexts")
+    spread = (contexts.join(small_or_shuffled(groups), "place", "left").withColumn("group", F.coalesce("group", "place"))
+              .select("row", "entity", "group", F.explode("terms").alias("term")))
+    support = (spread.groupBy("term", "entity", "group").agg(F.lit(1).alias("one")).groupBy("term", "entity")
+               .agg(F.count("*").alias("groups")).filter(F.col("groups") >= min_contexts).select("term", "entity"))
     together = (spread.join(support, ["term", "entity"], "left_semi").groupBy("term", "entity", "row").agg(F.lit(1).alias("one"))
                 .groupBy("term", "entity").agg(F.count("*").alias("d_te")))
     candidates = landed(together.join(entity_docs, "entity"), "candidate-terms")

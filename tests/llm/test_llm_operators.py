@@ -408,6 +408,29 @@ def test_terms_that_disclose(spark):
     assert clean[100] == rows[8][1]
 
 
+def test_fixed_phrases_disclose_and_edited_copies_do_not(spark):
+    rng = random.Random(9)
+    filler = ["common" + chr(97 + k % 26) + chr(97 + k // 26) for k in range(150)]
+    some = lambda n: " ".join(rng.sample(filler, n))
+    fixed = "please contact {} {} head of accounts at {} limited"
+    rows = [(k, f"{some(4)} please contact jane doe on jd@x.org {some(4)}", None) for k in range(3)]
+    rows += [(50 + k, f"{some(4)} {fixed.format('mary', 'poe', 'example')} mp@x.org {some(4)}", None) for k in range(40)]
+    rows += [(100 + k, f"{some(6)} {fixed.format('any', 'one', 'other')} on {some(6)}", None) for k in range(200)]
+    # One mailbox in a fixed phrase and in edited copies of a passage: the copies are one context, the phrase still counts.
+    passage = ["rare" + chr(97 + k) * 2 for k in range(20)]
+    for k in range(20):
+        edited = [w if rng.random() > 0.06 else rng.choice(filler) for w in passage]
+        rows.append((400 + k, " ".join(edited[:10] + ["mix@x.org"] + edited[10:]), None))
+    rows += [(500 + k, f"{some(4)} please contact john roe on mix@x.org {some(4)}", None) for k in range(20)]
+    marked = {}
+    for r in pii.find_personal_data(docs_of(spark, rows)).collect():
+        marked.update({(r.id, t.found): t.kind for t in r.terms})
+    want = {(k, w): "remove" for k in range(3) for w in ("jane", "doe")}
+    want |= {(50 + k, w): "remove" for k in range(40) for w in ("mary", "poe", "example")}
+    want |= {(500 + k, w): "remove" for k in range(20) for w in ("john", "roe")}
+    assert marked == want
+
+
 # ---------------------------------------------------------------- 9 archive
 
 
