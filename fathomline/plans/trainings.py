@@ -26,22 +26,17 @@ def bench_table(spark: SparkSession, folder: str) -> DataFrame:
         {c: shape.select(c).scalar() for c in ("n_samples", "n_features", "n_classes")})
 
 
-def _multi_class_models() -> dict:
-    """The models with one fit whatever the number of classes; one class against the rest is an open cut (see README)."""
-    return {name: build for name, build in models.classifiers().items() if name not in ("SVM-RBF", "GBDT")}
-
-
 def embedding_bench(spark: SparkSession, folder: str) -> DataFrame:
-    """The multi-class matrix with the models that need one fit whatever the number of classes."""
+    """The multi-class matrix with all five models."""
     features = tables.embedding_features(spark, folder)
-    return evaluation.score_summary(models.cross_validation(features, _multi_class_models(), "embeddings"),
+    return evaluation.score_summary(models.cross_validation(features, models.classifiers(), "embeddings"),
                                     ["dataset", "model"])
 
 
 def holdout_best(spark: SparkSession, folder: str) -> DataFrame:
     """Confusion counts of the best model on the stratified hold-out."""
     features = tables.embedding_features(spark, folder)
-    predicted = models.holdout_best(features, _multi_class_models(), "embeddings")
+    predicted = models.holdout_best(features, models.classifiers(), "embeddings")
     return evaluation.confusion_matrix(predicted, ["model"])
 
 

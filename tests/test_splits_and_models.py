@@ -9,6 +9,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from fathomline.operators import evaluation, folds, models, neighbours
+from fathomline.plans import trainings
 
 
 @pytest.fixture(scope="module")
@@ -172,3 +173,25 @@ def test_out_of_fold_recovers_a_line(spark):
     assert evaluation.regression_scores(predicted, ["model"]).first()["r2"] > 0.999
     series = models.actual_and_predicted(predicted, "linear", ["c3"]).collect()
     assert [r["ym"] for r in series] == sorted(r["ym"] for r in series) and len(series) == 12
+
+
+def test_multi_class_queries_compare_all_five_models(spark, monkeypatch):
+    draw = np.random.default_rng(6)
+    rows = [(i, i % 3, [float(x) for x in draw.normal(size=3) + 4 * (i % 3)]) for i in range(45)]
+    features = spark.createDataFrame(rows, "row_id long, label int, features array<double>")
+    every, cross_validation, compared = models.classifiers, models.cross_validation, []
+
+    def recorded(features, chosen, dataset):
+        compared.append(set(chosen))
+        return cross_validation(features, chosen, dataset)
+
+    monkeypatch.setattr(trainings.tables, "embedding_features", lambda spark, folder: features)
+    monkeypatch.setattr(models, "classifiers", lambda: every(trees=2, rounds=1))
+    monkeypatch.setattr(models, "cross_validation", recorded)
+    scores = {r["model"]: r for r in trainings.embedding_bench(spark, "").collect()}
+    assert set(scores) == {"LogReg", "SVM-RBF", "KNN", "RandomForest", "GBDT"}
+    monkeypatch.setattr(models, "cross_validation", lambda features, chosen, dataset: compared.append(set(chosen)) or spark.createDataFrame(
+        [(dataset, name, 0, fold, 0.5 + (name == "GBDT") / 4) for name in chosen for fold in range(5)],
+        "dataset string, model string, repeat int, fold int, score double"))
+    best = trainings.holdout_best(spark, "").collect()
+    assert compared == [set(scores)] * 2 and {r["model"] for r in best} == {"GBDT"}
