@@ -108,25 +108,32 @@ def read_records(spark: SparkSession, archive: Archive) -> DataFrame:
         "warc_header", "http_header", F.when(revisit, F.lit(b"")).otherwise(F.col("payload")), end).alias("record"))
 
 
-def read_index(spark: SparkSession, archive: Archive, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def read_index(spark: SparkSession, archive: Archive) -> DataFrame:
     """What the archive says of each record: page_id, url, payload_bytes, payload_digest, record_type, refers_to.
 
-    Size and digest are taken anew from the stored payload, once per distinct payload, and must agree with the header.
+    Size and digest are taken anew from each record as read_records puts it together (a revisit's from the payload it refers
+    to) and must agree, as must the length of the record, with its headers: anything else ends the job.
     """
-    summary = landed(_payloads(spark, archive).select(
-        "address", F.octet_length("payload").cast("long").alias("payload_bytes"),
-        base32_sha1(F.col("payload")).alias("payload_digest")), "payload-summary")
-    heads = spark.read.parquet(archive.headers).select("address", F.decode("warc_header", "UTF-8").alias("head"))
-    rows = heads.join(small_or_shuffled(summary, broadcast_rows), "address")
-
-    def value(name: str, pattern: str) -> Column:
-        found = F.regexp_extract("head", f"\r\n{name}: {pattern}\r\n", 1)
+    head, http = F.octet_length("warc_header"), F.octet_length("http_header")
+    whole = read_records(spark, archive).select(
+        F.decode("warc_header", "UTF-8").alias("head"), F.decode("http_header", "UTF-8").alias("http"),
+        (F.octet_length("record") - head - 4).alias("block_bytes"),
+        F.when(F.octet_length("record") == head + http + 4, F.col("payload"))
+        .otherwise(F.substr("record", head + http + 1, F.octet_length("record") - head - http - 4)).alias("body"))
+    rows = whole.select("head", "http", "block_bytes", F.octet_length("body").cast("long").alias("payload_bytes"),
+                        base32_sha1(F.col("body")).alias("payload_digest"))
+
+    def value(name: str, pattern: str, lines: str = "head") -> Column:
+        found = F.regexp_extract(lines, f"\r\n{name}: {pattern}\r\n", 1)
         return F.when(found != "", found)
 
-    digest = F.when(value("WARC-Payload-Digest", "sha1:([A-Z2-7]+)") == F.col("payload_digest"), F.col("payload_digest"))
+    agrees = ((value("WARC-Payload-Digest", "sha1:([A-Z2-7]+)") == F.col("payload_digest"))
+              & (value("Content-Length", "([0-9]+)").cast("long") == F.col("block_bytes"))
+              & (value("Content-Length", "([0-9]+)", "http").cast("long") == F.col("payload_bytes")))
     return rows.select(
         value("WARC-Record-ID", "<urn:page:([^>]*)>").cast("long").alias("page_id"),
         value("WARC-Target-URI", "([^\r\n]*)").alias("url"), "payload_bytes",
-        F.coalesce(digest, F.raise_error(F.concat(F.lit("digest differs: "), F.col("head")))).alias("payload_digest"),
+        F.when(agrees, F.col("payload_digest")).otherwise(
+            F.raise_error(F.concat(F.lit("record differs from its header: "), F.col("head")))).alias("payload_digest"),
         value("WARC-Type", "([a-z]+)").alias("record_type"),
         value("WARC-Refers-To", "<urn:page:([^>]*)>").cast("long").alias("refers_to"))

@@ -11,6 +11,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fathomline.llm import (
     decontaminate, exact_dedup, language_id, near_join, packing, pii, secret_scan, suffix_dedup, token_counts, warc)
@@ -473,6 +474,17 @@ def test_damaged_payload_is_noticed(spark):
         warc.read_records(spark, warc.Archive(archive.headers, folder)).collect()
 
 
+@pytest.mark.parametrize("column", ["warc_header", "http_header"])
+def test_index_measures_the_records_themselves(spark, column):
+    archive = warc.write_archive(spark.createDataFrame([(1, "u", "text"), (2, "v", "text")], "page_id long, url string, html string"))
+    assert warc.read_index(spark, archive).count() == 2
+    longer = F.regexp_replace(F.decode(column, "UTF-8"), r"Content-Length: (\d+)", "Content-Length: 1$1")
+    folder = f"{archive.headers}-{column}"
+    spark.read.parquet(archive.headers).withColumn(column, F.encode(longer, "UTF-8")).write.parquet(folder)
+    with pytest.raises(Exception, match="record differs from its header"):
+        warc.read_index(spark, warc.Archive(folder, archive.payloads)).collect()
+
+
 # ---------------------------------------------------------------- 10 secrets
 
 
