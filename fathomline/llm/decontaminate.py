@@ -101,9 +101,9 @@ def merged(spans: list[tuple[int, int]]) -> list[int]:
 
 
 _PIECES = "item string, words binary"
-_FOUND = pa.schema([("id", pa.int64()), ("key", pa.string()), ("n_words", pa.int64()), ("spans", pa.list_(pa.int32())),
+_FOUND = pa.schema([("id", pa.int64()), ("row", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(pa.int32())),
                     ("items", pa.list_(pa.string()))])
-_FOUND_SQL = "id long, key string, n_words long, spans array<int>, items array<string>"
+_FOUND_SQL = "id long, row long, n_words long, spans array<int>, items array<string>"
 _HITS_SQL = "id long, n_words long, n_hit long, items array<string>, items_sha256 string"
 
 
@@ -120,16 +120,15 @@ def _pieces(window: int):
     return cut
 
 
-def _scan(shared, window: int, keyed: bool):
+def _scan(shared, window: int):
     def scan(batches):
         matcher = Matcher(shared.value, window)
         for batch in batches:
-            ids, texts, rows = batch["id"].to_pylist(), batch["text"].to_pylist(), []
-            for i, text in zip(ids, texts):
+            ids, numbers, texts, rows = *(batch[c].to_pylist() for c in ("id", "row", "text")), []
+            for i, row, text in zip(ids, numbers, texts):
                 words = words_of(text)
                 spans, items = matcher.hits(words)
-                key = hashlib.sha256(text or b"").hexdigest() if keyed else None
-                rows.append((i, key, len(words), spans, items))
+                rows.append((i, row, len(words), spans, items))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(column, kind.type) for column, kind in zip(zip(*rows), _FOUND)] if rows
                 else [pa.array([], kind.type) for kind in _FOUND], schema=_FOUND)
@@ -183,19 +182,22 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "
     Benchmark text is cut into blocks of bounded size. Each block is one pass over the documents: its tables go to the
     tasks by a broadcast of that bound, every document is searched as a whole where it is read, and nothing but hits
     comes out. Benchmarks of one block need no shuffle. With several blocks, the hits of a pass are written before its
-    broadcast is given up and the next block is read, so the driver holds one block at a time; the hits are joined by id
-    and digest of the text.
+    broadcast is given up and the next block is read, so the driver holds one block at a time. Documents are then numbered
+    in a written table first, and the hits of a document are joined by its number: one row per pass, however many are equal.
 
     Null or empty texts have no words and no hits; an item without words has no window; a null item id counts as the
     empty string. Repeated documents each get their row, repeated items count once by id. An empty benchmark hits
     nothing. Ties can't arise: the result doesn't depend on order.
     """
     blocks, share = _blocks(benchmark, item_column, item_text_column, window, block_chars)
-    texts = pick(docs, {"id": (id_column, "long"), "text": (text_column, "binary")})
+    texts = pick(docs, {"id": (id_column, "long"), "text": (text_column, "binary")}).withColumn(
+        "row", F.monotonically_increasing_id())
+    if blocks > 1:
+        texts = landed(texts, "numbered-texts")
     passes = []
     for block in range(blocks):
         shared = share(block)
-        found = texts.mapInArrow(_scan(shared, window, blocks > 1), _FOUND_SQL)
+        found = texts.mapInArrow(_scan(shared, window), _FOUND_SQL)
         if blocks > 1:
             found = landed(found, "benchmark-hits")
             shared.destroy()
@@ -204,10 +206,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "
     if blocks > 1:
         for other in passes[1:]:
             found = found.unionByName(other)
-        found = (found.groupBy("id", "key", "n_words")
-                 .agg(F.collect_list("spans").alias("passes"), F.collect_list("items").alias("lists"))
-                 .select("id", "n_words", (F.size("passes") / blocks).cast("int").alias("copies"), "passes", "lists")
-                 .withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+        found = (found.groupBy("row").agg(F.first("id").alias("id"), F.first("n_words").alias("n_words"),
+                                          F.collect_list("spans").alias("passes"), F.collect_list("items").alias("lists"))
                  .select("id", "n_words", "passes", "lists")
                  .mapInArrow(_union, "id long, n_words long, spans array<int>, items array<string>"))
     return found.select("id", "n_words", "spans", "items").mapInArrow(_digest, _HITS_SQL)

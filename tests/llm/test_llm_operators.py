@@ -111,6 +111,23 @@ def test_contamination(spark, odd_rows, block_chars):
     assert sorted((r.doc_id for r in clean.collect()), key=str) == sorted(want, key=str)
 
 
+def test_equal_rows_meet_only_their_own_passes(spark, monkeypatch):
+    words = "ab cd ef gh ij kl mn op qr st uv wx".split()
+    docs = [(1, " ".join(words), None)] * 40 + [(None, "", None)] * 40 + [(2, "yz " + " ".join(words[:10]), None)]
+    items = [(str(k), " ".join(words[k:k + 10])) for k in range(3)]
+    union, most = decontaminate._union, 1 + sum(len(text) for _, text in items) // 30
+
+    def bounded(batches):
+        for batch in batches:
+            assert max(len(lists) for lists in batch["passes"].to_pylist()) <= most, "more passes than blocks"
+            yield from union([batch])
+
+    monkeypatch.setattr(decontaminate, "_union", bounded)
+    found = decontaminate.find_contamination(
+        docs_of(spark, docs), spark.createDataFrame(items, "item_id string, text string"), block_chars=30)
+    assert sorted((tuple(r) for r in found.collect()), key=str) == brute_contamination([d[:2] for d in docs], items)
+
+
 def test_contamination_of_nothing(spark, odd_rows):
     none = spark.createDataFrame([], "item_id long, text string")
     assert all(r.n_hit == 0 for r in decontaminate.find_contamination(docs_of(spark, odd_rows), none).collect())
