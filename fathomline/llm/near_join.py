@@ -1,4 +1,4 @@
-"""Similarity join on word n-grams: MinHash LSH forest for candidates, exact Jaccard similarity for links."""
+"""Similarity join on word n-grams: MinHash LSH in fixed bands for candidates, exact Jaccard similarity for links."""
 
 from __future__ import annotations
 
@@ -15,9 +15,9 @@ from fathomline.llm.common import landed, small_or_shuffled, words_of
 from fathomline.llm.components import components
 from fathomline.llm.rolling import Prefixes
 
-#: Tries of the forest, and min-hashes of a signature in each: the deepest prefix.
+#: Bands of a signature, and the most min-hashes that a band may have; prefix_length says how many it has.
 TREES, DEPTH = 24, 8
-#: Share of the pairs at the threshold itself that must meet in a trie.
+#: Share of the pairs at the threshold itself that must meet in a band.
 TARGET_RECALL = 0.999
 #: Texts compared with each other at once; larger groups are dealt out as pairs of such blocks.
 BLOCK = 256
@@ -69,7 +69,7 @@ def signature(hashes: np.ndarray, count: int) -> np.ndarray:
 
 
 def prefix_length(threshold: float, trees: int = TREES, depth: int = DEPTH, recall: float = TARGET_RECALL) -> int:
-    """Shorten the matched prefix from the full depth until pairs at the threshold meet with the target recall."""
+    """Most min-hashes of a band, the same for all texts, with which pairs at the threshold meet with the target recall."""
     for length in range(depth, 0, -1):
         if 1 - (1 - threshold ** length) ** trees >= recall:
             return length
@@ -186,9 +186,9 @@ def _classes(docs: DataFrame, id_column: str, text_column: str, words: int = 5,
     connected by links, `n_links` the number of documents that one is linked to, and one document of each class is kept.
 
     1. Documents with equal sets are one text from here on; copies count in `n_links` without being compared.
-    2. Each text has a signature for each trie of the forest. Texts whose signatures share a prefix in any trie meet; the
-       prefix is shortened from the full depth until pairs at the threshold meet with the target recall (prefix_length).
-       A trie node links its texts to its smallest one, so nodes give as many rows as they have texts, never pairs.
+    2. Each text has a signature of `trees` bands of a fixed length, which reaches the target recall for pairs at the threshold
+       (prefix_length). Texts that agree in any band meet. A band value links its texts to its smallest one, so it gives
+       as many rows as it has texts, never pairs.
     3. Texts connected so are one group, whose sets are compared exactly. Groups of more than BLOCK texts are dealt out as
        pairs of blocks over many tasks; a task keeps counts of links and the components of its blocks, no pairs.
     4. Components of what the tasks found are the classes.
