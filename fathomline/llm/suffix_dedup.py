@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings, by blockwise suffix sorting of a difference-cover sample."""
+"""Removal of repeated byte strings, by matching fingerprints at the positions of a difference cover."""
 
 from __future__ import annotations
 
@@ -43,7 +43,7 @@ class _Block:
     """Suffixes of a block of whole documents, and what the earlier rounds found out about them.
 
     Any two equal strings of `size` bytes have a sample position at the same distance from their begin, at most a period
-    away, since the sample is a difference cover. So only sample suffixes are ranked, by their first
+    away, since the sample is a difference cover. So only sample suffixes are matched, by their first
     `short` = size - period + 1 bytes; a string can be repeated only where such a short context is.
     """
 
@@ -65,7 +65,7 @@ class _Block:
         self.hashes = Prefixes(buffer).hashes(self.at, self.at + self.short) if len(self.at) else np.empty(0, np.uint64)
 
     def samples(self, buckets: int) -> "_Sent":
-        """Round 1: the short contexts of all sample suffixes; rank classes need no more than equality."""
+        """Round 1: the short contexts of all sample suffixes, of which no more than equality is asked."""
         bucket = ((self.hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
         return _Sent(bucket << np.uint64(32) | (self.hashes & np.uint64(0xFFFFFFFF)), None, buckets)
 
@@ -264,10 +264,10 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     A byte goes if a string of `size` bytes over it also begins anywhere else, in this document or another, overlapping or
     not; strings are those of the input, never over the end of a document.
 
-    Difference-cover blockwise suffix sorting, cut down to what repeats need: documents are written once as blocks. Only
-    suffixes at a difference cover are sorted, about 9 % of the positions, one bucket of their rank order at a time.
+    Fingerprints stand in for the sorting of suffixes, as only equality is asked: documents are written once as blocks. Only
+    contexts at a difference cover are matched, about 9 % of the positions, one bucket of their hashes at a time.
 
-    1. Equal first bytes (size less the period) make a rank class; a suffix alone in its class is out.
+    1. Equal first bytes (size less the period) make a class, by their hash; a suffix alone in its class is out.
     2. Long ties: the whole context of a sample, all strings that hold its begin, is looked up once; if it stands
        elsewhere, every string in it is repeated without looking at them one by one.
     3. Strings at the edges of repeats, and one of each settled kind, are looked up by 128-bit fingerprints.
