@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fathomline.llm import (
     decontaminate, exact_dedup, language_id, near_join, packing, pii, secret_scan, suffix_dedup,
-    token_counts, warc)
+    token_counts, warc, whitening)
 from fathomline.llm.common import table
 
 
@@ -69,6 +69,17 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
                        F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = whitening.usable_rows(table(spark, folder, "embeddings"))
+    model = whitening.fit(rows)
+    explained = F.array(*[F.lit(float(e)) for e in model.explained]).cast("array<double>")
+    return whitening.transform(rows, model).select(
+        F.col("id").alias("vec_id"), "n", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened",
+        F.get(explained, F.col("at")).alias("explained"),
+        F.lit(model.identity_error).cast("double").alias("identity_error"))
+
+
 _ASCII_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all(coalesce({_ASCII_LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -116,6 +127,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_warc": op9_warc,
     "op10_secret_scan": op10_secret_scan,
+    "op11_whitening": op11_whitening,
 }
 
 ORACLE = {"op2_decontamination": OP2_SQL, "op6_exact_dedup": OP6_SQL, "op9_warc": OP9_SQL}
