@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomline.llm import (
-    decontaminate, exact_dedup, language_id, near_join, packing, pii, secret_scan, suffix_dedup,
+    alignment, decontaminate, exact_dedup, language_id, near_join, packing, pii, secret_scan, suffix_dedup,
     token_counts, warc, whitening)
 from fathomline.llm.common import table
 
@@ -80,6 +80,11 @@ def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(model.identity_error).cast("double").alias("identity_error"))
 
 
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    aligned = alignment.aligned_documents(table(spark, folder, "documents"))
+    return alignment.link_scores(aligned, alignment.pair_counts(aligned)).withColumnRenamed("id", "doc_id")
+
+
 _ASCII_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all(coalesce({_ASCII_LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -128,6 +133,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_secret_scan": op10_secret_scan,
     "op11_whitening": op11_whitening,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE = {"op2_decontamination": OP2_SQL, "op6_exact_dedup": OP6_SQL, "op9_warc": OP9_SQL}
