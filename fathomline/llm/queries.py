@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomline.llm import (
-    alignment, decontaminate, exact_dedup, language_id, near_join, packing, pii, secret_scan, suffix_dedup,
+    alignment, decontaminate, exact_dedup, language_id, near_join, packing, pii, quality, secret_scan, suffix_dedup,
     token_counts, warc, whitening)
 from fathomline.llm.common import table
 
@@ -80,6 +80,14 @@ def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(model.identity_error).cast("double").alias("identity_error"))
 
 
+def op12_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = (table(spark, folder, name) for name in ("documents", "labels"))
+    model = quality.fit(docs, labels.filter(~quality.in_fold(F.col("doc_id"))))
+    return quality.score_documents(docs, model).select(
+        F.col("id").alias("doc_id"), quality.in_fold(F.col("id")).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_passages")
+
+
 def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
     aligned = alignment.aligned_documents(table(spark, folder, "documents"))
     return alignment.link_scores(aligned, alignment.pair_counts(aligned)).withColumnRenamed("id", "doc_id")
@@ -133,6 +141,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_secret_scan": op10_secret_scan,
     "op11_whitening": op11_whitening,
+    "op12_quality": op12_quality,
     "op13_alignment": op13_alignment,
 }
 

@@ -8,10 +8,10 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
-from fathomline.llm import alignment, queries, whitening
+from fathomline.llm import alignment, quality, queries, whitening
 
 VECTOR = "vec_id long, embedding array<float>"
 DOC = "doc_id long, text string"
@@ -170,3 +170,102 @@ def test_alignment_query_on_driver_rows(spark, small_tables):
     expected = dict(zip([i for i, _ in rows], brute_alignment([t for _, t in rows])))
     found = {r.doc_id: tuple(r[c] for c in ALIGNED) for r in queries.op13_alignment(spark, small_tables).collect()}
     assert found == expected
+
+
+# ---------------------------------------------------------------- 12 quality
+
+
+def test_gradient_equals_differences():
+    draw = np.random.default_rng(0)
+    weights = {k: v.astype(np.float64) * 0.5 for k, v in quality._start().items()}
+    rows, owner = draw.random((9, quality.WIDTH)) * 0.1, np.array([0, 0, 0, 1, 1, 2, 2, 2, 2])
+    label, weight = np.array([1.0, 0.0, 0.3]), np.array([1.0, 2.0, 1.0])
+
+    def loss(p):
+        y = quality._forward(p, rows, owner, 3)[-1]
+        return -(weight * (label * np.log(y) + (1 - label) * np.log(1 - y))).sum() / weight.sum()
+
+    found = quality.gradient(weights, rows, owner, label, weight)
+    for name in weights:
+        at = np.unravel_index(3 % weights[name].size, weights[name].shape)
+        sides = []
+        for step in (1e-6, -1e-6):
+            moved = {k: v.copy() for k, v in weights.items()}
+            moved[name][at] += step
+            sides.append(loss(moved))
+        assert found[name][at] == pytest.approx((sides[0] - sides[1]) / 2e-6, rel=1e-4, abs=1e-9)
+
+
+def test_passages_of_a_batch_are_those_of_each_text(monkeypatch):
+    rng = random.Random(8)
+    texts = [None, "", "  ", "\n one", "ÉA é 1!? a a a", "x" * 500, " ".join(rng.choices(["a", "bb", "C.", "!!"], k=300)), "end "]
+
+    def alone(text):
+        (_, _, rows, owner), = quality.bags(pa.array([text.encode() if text else None], pa.binary()))
+        assert (owner == 0).all()
+        return rows
+
+    each = [alone(t) for t in texts]
+    assert [len(r) for r in each] == [1, 1, 1, 1, 1, 1, 5, 1]
+    assert not each[0].any() and not each[2].any()
+    whole = pa.array(["cut"] + texts, pa.string()).cast(pa.binary())[1:]
+    for most in (1 << 21, 40):
+        monkeypatch.setattr(quality, "BATCH_BYTES", most)
+        found = [rows[owner == k] for _, end, rows, owner in quality.bags(whole) for k in range(owner.max() + 1)]
+        assert all(np.allclose(a, b) for a, b in zip(found, each)) and len(found) == len(each)
+    monkeypatch.setattr(quality, "PIECE_BYTES", 100)
+    (_, _, rows, owner), = quality.bags(pa.array([texts[6].encode()], pa.binary()))
+    assert len(rows) > 5 and (owner == 0).all()
+
+
+def test_quality_attends_to_the_bad_passage(spark):
+    rng = random.Random(3)
+    good = lambda n: " ".join(rng.choices(["the", "quiet", "river", "runs", "to", "sea,", "and", "on."], k=n))
+    bad = lambda n: " ".join(rng.choices(["CLICK!!", "$$$", "WIN!!", "###"], k=n))
+    rows, labels = [], []
+    for k in range(300):
+        label = k % 2
+        parts = [good(64) for _ in range(4)]
+        if not label:
+            parts[rng.randrange(4)] = bad(64)
+        rows.append((k, " ".join(parts)))
+        labels.append((k, float(label), 1))
+    rows += [(None, "free text"), (7, "a second row of one id"), (901, None), (902, "")]
+    labels += [(5, None, 0), (None, 1.0, 0), (901, 1.0, 0), (6, 0.0, 5), (950, 1.0, 5), (951, float("nan"), 5)]
+    schema = DOC + ", id int, label string, weight int"
+    docs = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], schema).repartition(3)
+    model = quality.fit(docs.filter("doc_id is null or doc_id < 240 or doc_id > 900"),
+                        spark.createDataFrame(labels, "doc_id long, quality double, id int"))
+    found = defaultdict(list)
+    for r in quality.score_documents(docs, model).collect():
+        found[r.id].append(r)
+    assert sum(len(v) for v in found.values()) == len(rows) and len(found[7]) == 2
+    right = [(found[k][0].score >= 0.5) == bool(k % 2) for k in range(240, 300)]
+    assert np.mean(right) > 0.95 and all(found[k][0].n_passages == 4 for k in range(240, 300))
+    assert all(0 <= r.score <= 1 for v in found.values() for r in v)
+    # The gate, learnt from labels of documents alone, looks at the bad passage.
+    text = " ".join([good(64), good(64), bad(64), good(64)])
+    (_, _, features, owner), = quality.bags(pa.array([text.encode()], pa.binary()))
+    assert quality._forward(model.weights, features, owner, 1)[3].argmax() == 2
+
+
+def test_quality_without_labels_or_rows(spark):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    docs = spark.createDataFrame([(1, "abc"), (2, None)], DOC)
+    model = quality.fit(docs, none)
+    assert [r.score for r in quality.score_documents(docs, model).collect()] == [0.5, 0.5]
+    empty = spark.createDataFrame([], DOC)
+    assert quality.fit(empty, spark.createDataFrame([(1, 1)], "doc_id long, quality int")).score(None, None, 2).tolist() == [1.0, 1.0]
+    assert quality.score_documents(empty, model).count() == 0
+
+
+def test_quality_query_predicts_held_out_documents(spark):
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    rows = queries.op12_quality(spark, folder)
+    assert rows.count() == spark.read.parquet(f"{folder}/documents.parquet").count()
+    held = rows.join(labels, "doc_id").filter("held_out").collect()
+    assert {r.held_out for r in held} == {True} and len(held) > 40
+    assert np.mean([r.predicted == r.quality for r in held]) > 0.9
+    assert all(r.predicted == int(r.score >= 0.3) for r in held)
+    assert all(r.predicted == 1 for r in held if r.quality == 1)
