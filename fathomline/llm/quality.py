@@ -86,15 +86,15 @@ def _piece_features(data: np.ndarray, piece: np.ndarray, pieces: int) -> tuple[n
     rows = np.zeros((count, WIDTH), np.float32)
     if not len(starts):
         return rows, owner
-    # Bytes go with the word that they are in or follow.
-    word = np.cumsum(inside & fresh) - 1
-    of_byte = own[np.maximum(word, 0)]
+    # Bytes go with the word that they are in or follow; space before the first word of a run doesn't count.
+    word = np.maximum(np.cumsum(inside & fresh) - 1, 0)
+    placed = (of_word[word] == piece) & (starts[word] <= np.arange(len(data)))
+    of_byte = own[word]
     kinds = _KINDS[data].astype(np.int64)
-    pair = (of_byte[:-1] * 256 + kinds[:-1] * 16 + kinds[1:])[(piece[1:] == piece[:-1]) & (word[:-1] >= 0)]
+    pair = (of_byte[:-1] * 256 + kinds[:-1] * 16 + kinds[1:])[(piece[1:] == piece[:-1]) & placed[:-1]]
     rows[:, :256] = np.bincount(pair, minlength=count * 256).reshape(count, 256)
     lower = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint64) + np.uint64(1)
-    place = np.arange(len(data)) - starts[np.maximum(word, 0)]
-    place[word < 0] = 0
+    place = np.where(inside, np.arange(len(data)) - starts[word], 0)
     hashes = _per_word(np.where(inside, lower * _powers(int(place.max()) + 1)[place], np.uint64(0)), starts)
     hashes = (hashes ^ hashes >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
     bucket = (hashes >> np.uint64(56)).astype(np.int64)
@@ -110,7 +110,7 @@ def _piece_features(data: np.ndarray, piece: np.ndarray, pieces: int) -> tuple[n
     rows[:, -5:] = np.stack([
         np.bincount(own[order][1:][again], minlength=count) / some, np.bincount(own[1:][same], minlength=count) / some,
         np.minimum(letters / some, 32) / 16, in_passage / PASSAGE_WORDS,
-        np.minimum(np.bincount(of_byte, minlength=count) / np.maximum(letters, 1), 4) / 4], axis=1)
+        np.minimum(np.bincount(of_byte[placed], minlength=count) / np.maximum(letters, 1), 4) / 4], axis=1)
     return rows, owner
 
 
