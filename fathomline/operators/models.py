@@ -1,7 +1,7 @@
-"""Training and comparison of models on shared folds with Spark ML.
+"""Training and comparison of models on shared folds.
 
-Every fit is itself a distributed job. A few fits are submitted at the same time from driver threads, as
-cross validation in Spark ML does; the driver receives one score per fit and no rows.
+A model fits all scenarios (folds, subsamples) together: its jobs don't grow with their number. Models run side by side
+from driver threads; the driver receives one score per fit and no rows.
 """
 
 from __future__ import annotations
@@ -13,35 +13,30 @@ from multiprocessing.pool import ThreadPool
 import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target, keyword_only
-from pyspark.ml import Estimator, Pipeline, Transformer
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, OneVsRest,
-                                       RandomForestClassifier)
-from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml import Transformer
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fathomline.operators import evaluation, folds, neighbours, scenarios
+from fathomline.operators import evaluation, folds, linear, neighbours, scenarios
+from fathomline.operators import trees as tree
 from fathomline.session import cut_lineage
 
 SEED = 42
 # Model settings.
-MAX_ITERATIONS = 3000
 BENCH_TREES, CURVE_TREES, REGRESSION_TREES = 300, 200, 300
 BOOST_ROUNDS, BOOST_DEPTH, BOOST_RATE = 100, 3, 0.1
-REGRESSION_ROUNDS, REGRESSION_BOOST_DEPTH, REGRESSION_LEAF = 200, 5, 20
-FOREST_DEPTH = 20
+REGRESSION_ROUNDS, REGRESSION_LEAVES, REGRESSION_LEAF = 200, 31, 20
+# Depths that stand for none.
+FOREST_DEPTH, REGRESSION_DEPTH = 20, 60
 FOURIER_FEATURES = 256
 KNN = "KNN"
 FITS_AT_ONCE = 8
-# Optimisers stop when a step changes the loss by less than this share.
-TOLERANCE = 1e-4
 
 
 class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -75,43 +70,21 @@ class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol, DefaultParam
         return dataset.withColumn(self.getOutputCol(), array_to_vector(cosines(vector_to_array(self.getInputCol()))))
 
 
-def _scaler(n: int, width: int) -> list:
-    """Mean 0 and population deviation 1 on the train rows (Spark's scaler divides by the sample deviation)."""
-    return [StandardScaler(inputCol="vector", outputCol="centred", withMean=True, withStd=True),
-            ElementwiseProduct(inputCol="centred", outputCol="scaled",
-                               scalingVec=Vectors.dense([math.sqrt(n / max(1, n - 1))] * width))]
+def classifiers(trees: int = BENCH_TREES, rounds: int = BOOST_ROUNDS) -> dict[str, Callable[[DataFrame], DataFrame] | None]:
+    """Model name to a function from a placed table to scenario, row_id, label and prediction of its test rows.
 
+    Each fits all scenarios together. The neighbour model has no fit.
+    """
+    def forest(placed: DataFrame) -> DataFrame:
+        data = tree.matrix(placed)
+        drawn = max(1, int(math.sqrt(data.features)))
+        return tree.forest_predictions(data, trees, tree.Growth(FOREST_DEPTH, drawn=drawn, seed=SEED))
 
-def _one_per_class(classifier, classes: int):
-    return classifier if classes == 2 else OneVsRest(
-        classifier=classifier, featuresCol=classifier.getFeaturesCol(), parallelism=FITS_AT_ONCE)
-
-
-def classifiers(trees: int = BENCH_TREES, rounds: int = BOOST_ROUNDS) -> dict[str, Callable | None]:
-    """Model name to a builder (train rows, features, classes) -> estimator; the neighbour model has no fit."""
-    def logistic(n: int, width: int, classes: int) -> Estimator:
-        return Pipeline(stages=[*_scaler(n, width), LogisticRegression(
-            featuresCol="scaled", maxIter=MAX_ITERATIONS, regParam=1 / n, standardization=False,
-            tol=TOLERANCE)])
-
-    def kernel(n: int, width: int, classes: int) -> Estimator:
-        return Pipeline(stages=[*_scaler(n, width), RandomFourierFeatures(
-            inputCol="scaled", outputCol="fourier", width=width, gamma=1 / width), _one_per_class(
-                LinearSVC(featuresCol="fourier", regParam=1 / n, standardization=False, tol=TOLERANCE), classes)])
-
-    def forest(n: int, width: int, classes: int) -> Estimator:
-        return RandomForestClassifier(featuresCol="vector", numTrees=trees, maxDepth=FOREST_DEPTH,
-                                      featureSubsetStrategy="sqrt", seed=SEED)
-
-    def boosted(n: int, width: int, classes: int) -> Estimator:
-        return _one_per_class(GBTClassifier(featuresCol="vector", maxIter=rounds, maxDepth=BOOST_DEPTH,
-                                            stepSize=BOOST_RATE, seed=SEED), classes)
-
-    return {"LogReg": logistic, "SVM-RBF": kernel, KNN: None, "RandomForest": forest, "GBDT": boosted}
-
+    def boosted(placed: DataFrame) -> DataFrame:
+        return tree.boosted_predictions(tree.matrix(placed), rounds, BOOST_RATE, tree.Growth(BOOST_DEPTH, seed=SEED))
 
-def with_vector(rows: DataFrame) -> DataFrame:
-    return rows.withColumns({"vector": array_to_vector("features"), "label": F.col("label").cast("double")})
+    return {"LogReg": linear.logistic_predictions, "SVM-RBF": linear.kernel_predictions, KNN: None, "RandomForest": forest,
+            "GBDT": boosted}
 
 
 def in_parallel(tasks: Iterable[Callable], spark: SparkSession, at_once: int = FITS_AT_ONCE) -> list:
@@ -128,32 +101,29 @@ def scenario_scores(rows: DataFrame, scenario: list[str], models: dict[str, Call
 def placed_scores(placed: DataFrame, scenario_types: T.StructType, models: dict[str, Callable | None]) -> DataFrame:
     """Accuracy of every model in every scenario: scenario columns, model, score, train_rows.
 
-    `placed` is a table of `scenarios.place`: one copy of the rows serves all fits, each of which filters it. It is
-    written in partitions of Spark's advisory size, as every step of an optimiser is a job over all of them.
+    `placed` is a table of `scenarios.place`: one copy of the rows, written once, serves all fits. The models run side by
+    side; one score per scenario and model reaches the driver.
     """
     spark = placed.sparkSession
-    rows = cut_lineage(with_vector(placed).hint("rebalance"))
-    shapes = scenarios.train_shapes(rows).collect()
-
-    def fit_one(name: str, shape) -> Callable:
-        def run() -> tuple:
-            estimator = models[name](shape["n"], shape["width"], max(2, shape["classes"]))
-            fitted = estimator.fit(rows.filter(F.array_contains("trains", shape["scenario"])).select("label", "vector"))
-            predicted = fitted.transform(rows.filter(F.array_contains("tests", shape["scenario"])).select("label", "vector"))
-            score = predicted.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
-            return shape["scenario"], name, score, shape["n"]
+    rows = cut_lineage(placed.hint("rebalance"))
+    sizes = {r["scenario"]: r["n"] for r in scenarios.train_shapes(rows).collect()}
+
+    def scored(name: str) -> Callable:
+        def run() -> list[tuple]:
+            found = evaluation.accuracy(models[name](rows), ["scenario"]).collect()
+            return [(r["scenario"], name, r["score"], sizes.get(r["scenario"], 0)) for r in found]
         return run
 
-    tasks = [fit_one(name, shape) for name in models if models[name] is not None for shape in shapes]
-    scores = spark.createDataFrame(in_parallel(tasks, spark), "scenario string, model string, score double, train_rows long")
+    fitted = in_parallel([scored(name) for name in models if models[name] is not None], spark)
+    scores = spark.createDataFrame([row for part in fitted for row in part], "scenario string, model string, score double, train_rows long")
+    scores = scores.select(*scenarios.named(scenario_types), "model", "score", "train_rows")
     if KNN in models:
-        sizes = spark.createDataFrame([(r["scenario"], r["n"]) for r in shapes], "scenario string, train_rows long")
-        sizes = sizes.select(*scenarios.named(scenario_types), "train_rows")
-        predicted = neighbours.predict_each(rows.drop("vector"), scenario_types, [neighbours.NEIGHBOURS])
-        near = evaluation.accuracy(predicted, scenario_types.names).join(F.broadcast(sizes), scenario_types.names)
-        return scores.select(*scenarios.named(scenario_types), "model", "score", "train_rows").unionByName(
-            near.select(*scenario_types.names, F.lit(KNN).alias("model"), "score", "train_rows"))
-    return scores.select(*scenarios.named(scenario_types), "model", "score", "train_rows")
+        trained = spark.createDataFrame(list(sizes.items()), "scenario string, train_rows long")
+        trained = trained.select(*scenarios.named(scenario_types), "train_rows")
+        predicted = neighbours.predict_each(rows, scenario_types, [neighbours.NEIGHBOURS])
+        near = evaluation.accuracy(predicted, scenario_types.names).join(F.broadcast(trained), scenario_types.names)
+        scores = scores.unionByName(near.select(*scenario_types.names, F.lit(KNN).alias("model"), "score", "train_rows"))
+    return scores
 
 
 def cross_validation(features: DataFrame, models: dict[str, Callable | None], dataset: str) -> DataFrame:
@@ -168,20 +138,11 @@ def holdout_best(features: DataFrame, models: dict[str, Callable | None], datase
     """Predictions on a stratified hold-out by the model with the best cross-validated mean score."""
     pairs = evaluation.model_pairs(cross_validation(features, models, dataset))
     best = pairs.select("best").first()[0]
-    rows = folds.holdout_split(features).drop("label").join(features, "row_id")
-    if models[best] is None:
-        named = neighbours.knn_predict(rows.withColumn("dataset", F.lit(dataset)), ["dataset"])
-        return named.select("row_id", F.lit(best).alias("model"), F.col("label").cast("int").alias("label"),
+    rows = folds.holdout_split(features).drop("label").join(features, "row_id").withColumn("dataset", F.lit(dataset))
+    predicted = (neighbours.knn_predict(rows, ["dataset"]) if models[best] is None
+                 else models[best](scenarios.gather(rows, ["dataset"])))
+    return predicted.select("row_id", F.lit(best).alias("model"), F.col("label").cast("int").alias("label"),
                             F.col("prediction").cast("int").alias("prediction"))
-    rows = with_vector(rows)
-    rows = cut_lineage(rows.hint("rebalance"))
-    train = rows.filter(~F.col("is_test"))
-    shape = train.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("width"),
-                      F.count_distinct("label").alias("classes")).first()
-    fitted = models[best](shape["n"], shape["width"], max(2, shape["classes"])).fit(train)
-    return fitted.transform(rows.filter("is_test")).select(
-        "row_id", F.lit(best).alias("model"), F.col("label").cast("int").alias("label"),
-        F.col("prediction").cast("int").alias("prediction"))
 
 
 def learning_curve(features: DataFrame, models: dict[str, Callable | None], dataset: str, fractions: list[float],
@@ -194,18 +155,17 @@ def learning_curve(features: DataFrame, models: dict[str, Callable | None], data
         "train_rows", "size"))
 
 
-def regressors(trees: int = REGRESSION_TREES, rounds: int = REGRESSION_ROUNDS) -> dict[str, tuple[str, Estimator]]:
-    """Model name to the feature column and the estimator."""
-    return {
-        "month only": ("month_vector", LinearRegression(regParam=0.0, solver="normal")),
-        "linear": ("full_vector", LinearRegression(regParam=0.0, solver="normal")),
-        "random forest": ("full_vector", RandomForestRegressor(
-            numTrees=trees, minInstancesPerNode=2, maxDepth=FOREST_DEPTH, featureSubsetStrategy="all",
-            seed=SEED)),
-        "boosted trees": ("full_vector", GBTRegressor(
-            maxIter=rounds, stepSize=BOOST_RATE, maxDepth=REGRESSION_BOOST_DEPTH,
-            minInstancesPerNode=REGRESSION_LEAF, seed=SEED)),
-    }
+def regressors(trees: int = REGRESSION_TREES, rounds: int = REGRESSION_ROUNDS) -> dict[str, tuple[str, Callable]]:
+    """Model name to the feature column and a function from a placed table with numeric labels to predictions of its test rows."""
+    def forest(placed: DataFrame) -> DataFrame:
+        return tree.forest_predictions(tree.matrix(placed, numeric=True), trees, tree.Growth(FOREST_DEPTH, least=2, seed=SEED))
+
+    def boosted(placed: DataFrame) -> DataFrame:
+        growth = tree.Growth(REGRESSION_DEPTH, leaves=REGRESSION_LEAVES, least=REGRESSION_LEAF, seed=SEED)
+        return tree.boosted_predictions(tree.matrix(placed, numeric=True), rounds, BOOST_RATE, growth)
+
+    return {"month only": ("month_vector", linear.least_squares_predictions), "linear": ("full_vector", linear.least_squares_predictions),
+            "random forest": ("full_vector", forest), "boosted trees": ("full_vector", boosted)}
 
 
 def month_vectors(monthly: DataFrame, include_city: bool = True) -> DataFrame:
@@ -223,29 +183,30 @@ def month_vectors(monthly: DataFrame, include_city: bool = True) -> DataFrame:
         "city", "ym", F.col("pm25").alias("target"), "month_vector", "full_vector")
 
 
-def out_of_fold(rows: DataFrame, models: dict[str, tuple[str, Estimator]]) -> DataFrame:
+def out_of_fold(rows: DataFrame, models: dict[str, tuple[str, Callable]]) -> DataFrame:
     """Prediction of every model for every row, made by the fit that did not see the row's fold.
 
-    `rows` has city, ym, target, the vector columns and fold. The row keys travel through `transform`, so
-    predictions need no join back to their rows.
+    `rows` has city, ym, target, the vector columns and fold. The fits of all folds of a model run together on one placed
+    table, whose row_id numbers the rows; predictions join back by it.
     """
-    rows = cut_lineage(rows.hint("rebalance"))
-    held_out = sorted(r["fold"] for r in rows.select("fold").distinct().collect())
-
-    def fit_one(name: str, fold: int) -> Callable:
-        def run() -> DataFrame:
-            column, estimator = models[name]
-            named = estimator.copy({estimator.featuresCol: column, estimator.labelCol: "target"})
-            fitted = named.fit(rows.filter(F.col("fold") != fold))
-            return fitted.transform(rows.filter(F.col("fold") == fold)).select(
-                F.lit(name).alias("model"), "city", "ym", "target", "prediction")
-        return run
-
-    parts = in_parallel([fit_one(name, fold) for name in models for fold in held_out], rows.sparkSession)
+    spark = rows.sparkSession
+    numbered = cut_lineage(rows.hint("rebalance").withColumn("row_id", F.monotonically_increasing_id()))
+    held_out = sorted(r["fold"] for r in numbered.select("fold").distinct().collect())
+    names = {fold: f"fold {fold}" for fold in held_out}
+    tests = F.array(*[F.when(F.col("fold") == fold, F.lit(name)) for fold, name in names.items()])
+    trains = F.array(*[F.when(F.col("fold") != fold, F.lit(name)) for fold, name in names.items()])
+
+    def predicted(name: str) -> Callable:
+        column, model = models[name]
+        placed = numbered.select("row_id", F.col("target").cast("double").alias("label"), vector_to_array(column).alias("features"),
+                                 F.array_compact(trains).alias("trains"), F.array_compact(tests).alias("tests"))
+        return lambda: cut_lineage(model(placed).select(F.lit(name).alias("model"), "row_id", "prediction"))
+
+    parts = in_parallel([predicted(name) for name in models], spark)
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
-    return every
+    return every.join(numbered.select("row_id", "city", "ym", "target"), "row_id").select("model", "city", "ym", "target", "prediction")
 
 
 def actual_and_predicted(predictions: DataFrame, model: str, cities: list[str]) -> DataFrame:

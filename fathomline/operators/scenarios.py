@@ -6,11 +6,17 @@ A placed table has one row per data row: row_id, label, features, and the names
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fathomline.operators import folds
+from fathomline.session import collect_bounded
+
+MAX_SCENARIOS, MAX_LABELS = 1_000, 1_000
 
 
 def place(features: DataFrame, members: DataFrame, scenario: list[str]) -> DataFrame:
@@ -61,3 +67,24 @@ def curve_members(features: DataFrame, fractions: list[float], seeds: list[int])
     tested = split.filter("is_test").select("row_id", F.explode(pairs).alias("s")).select(
         "row_id", "s.fraction", "s.seed", F.lit(True).alias("is_test"))
     return chosen.unionByName(tested)
+
+
+def names_of(placed: DataFrame) -> tuple[str, ...]:
+    """The scenarios of a placed table, in order of their name."""
+    return tuple(sorted(r[0] for r in collect_bounded(
+        placed.select(F.explode(F.concat("trains", "tests"))).distinct(), MAX_SCENARIOS, "scenarios")))
+
+
+def labels_of(placed: DataFrame) -> tuple:
+    return tuple(sorted(r[0] for r in collect_bounded(placed.select("label").distinct(), MAX_LABELS, "labels")))
+
+
+def roles_of(batch: pa.RecordBatch, names: tuple[str, ...]) -> np.ndarray:
+    """By row and scenario: 1 where the row trains it, 2 where it tests it, else 0."""
+    roles, place = np.zeros((batch.num_rows, len(names)), np.uint8), {name: k for k, name in enumerate(names)}
+    for name, role in (("trains", 1), ("tests", 2)):
+        own = batch.column(name).flatten().dictionary_encode()
+        columns = np.array([place[s] for s in own.dictionary.to_pylist()], np.int64)
+        if len(own):
+            roles[pc.list_parent_indices(batch.column(name)).to_numpy(), columns[own.indices.to_numpy()]] = role
+    return roles
