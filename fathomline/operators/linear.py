@@ -295,14 +295,16 @@ def _least_squares(products: np.ndarray, middle: np.ndarray) -> np.ndarray:
         return np.zeros(len(middle))
     means = products[0, 1:] / n
     centred = products[1:, 1:] - n * np.outer(means, means)
-    # Features are scaled to unit variance while the system's rank is judged, and the solution is the shortest unscaled one.
+    # Solved for features of unit variance; what the unscaled weights have along the null space is then taken off.
     g, b = centred[:-1, :-1], centred[:-1, -1]
     size = np.sqrt(np.maximum(np.diag(g), 0))
-    values, vectors = np.linalg.eigh(g / np.outer(np.where(size > 0, size, 1), np.where(size > 0, size, 1)))
+    size = np.where(size > 0, size, np.inf)
+    values, vectors = np.linalg.eigh(g / size / size[:, None])
     held = values > NO_EIGENVALUE * max(values[-1], 1e-300)
-    # Row space of the scaled features, as unscaled weights: the shortest of them that solves the system.
-    basis = np.linalg.qr(vectors[:, held] * np.where(size > 0, size, 0)[:, None])[0]
-    w = basis @ np.linalg.lstsq(basis.T @ g @ basis, basis.T @ b, rcond=None)[0] if held.any() else np.zeros(len(b))
+    w = vectors[:, held] @ ((vectors[:, held].T @ (b / size)) / values[held]) / size
+    null = (vectors[:, ~held] / size[:, None])[:, np.abs(vectors[:, ~held] / size[:, None]).max(axis=0) > 0]
+    if null.shape[1]:
+        w -= null @ np.linalg.lstsq(null, w, rcond=None)[0]
     return np.append(w, middle[-1] + means[-1] - (middle[:-1] + means[:-1]) @ w)
 
 

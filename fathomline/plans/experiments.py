@@ -61,28 +61,36 @@ def mann_whitney_exact(spark: SparkSession, folder: str) -> DataFrame:
     return tested.select("city", "year", "n1", "n2", "u", F.round("p", 6).alias("p"))
 
 
+def _consecutive_years(values: DataFrame, keys: list[str], digits: int) -> DataFrame:
+    """Means of a year and the next one for every key that has both: keys, year (the first), first, second.
+
+    Each yearly mean takes part in two pairs, so one grouping makes them all and no year is named.
+    """
+    yearly = values.groupBy(*keys, F.year("date").alias("y")).agg(F.round(F.avg("pm25"), digits).alias("mean"))
+    roles = F.array(F.struct(F.col("y").alias("year"), F.col("mean").alias("first"), F.lit(None).cast("double").alias("second")),
+                    F.struct((F.col("y") - 1).alias("year"), F.lit(None).cast("double").alias("first"), F.col("mean").alias("second")))
+    return yearly.select(*keys, F.explode(roles).alias("r")).groupBy(*keys, "r.year").agg(
+        F.max("r.first").alias("first"), F.max("r.second").alias("second")).filter(
+        F.col("first").isNotNull() & F.col("second").isNotNull())
+
+
 def paired_scores(spark: SparkSession, folder: str) -> DataFrame:
-    """Mean of two years per city, paired by city within a region."""
-    year = F.year("date")
-    return (tables.city_daily(spark, folder).groupBy("group", "city")
-            .agg(F.round(F.avg(F.when(year == 1996, F.col("pm25"))), 1).alias("first"),
-                 F.round(F.avg(F.when(year == 1997, F.col("pm25"))), 1).alias("second")))
+    """Means of every two consecutive years, paired by city within a region."""
+    return _consecutive_years(tables.city_daily(spark, folder), ["group", "city"], 1)
 
 
 def wilcoxon_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return ranktests.signed_rank(paired_scores(spark, folder), ["group"], "first", "second").select(
-        "group", F.round("diff_mean", 4).alias("diff_mean"), "n", "statistic", F.round("p", 4).alias("wilcoxon_p"),
+    return ranktests.signed_rank(paired_scores(spark, folder), ["group", "year"], "first", "second").select(
+        "group", "year", F.round("diff_mean", 4).alias("diff_mean"), "n", "statistic", F.round("p", 4).alias("wilcoxon_p"),
         (F.col("p") < ALPHA).alias("significant"))
 
 
 def wilcoxon_months(spark: SparkSession, folder: str) -> DataFrame:
-    """Paired by city and month over all regions: more than 50 pairs, so the normal approximation."""
-    date = F.col("date")
-    pairs = (tables.city_daily(spark, folder).groupBy("city", F.month(date).alias("month"))
-             .agg(F.round(F.avg(F.when(F.year(date) == 1996, F.col("pm25"))), 0).alias("first"),
-                  F.round(F.avg(F.when(F.year(date) == 1997, F.col("pm25"))), 0).alias("second")))
-    return ranktests.signed_rank(pairs.withColumn("sample", F.lit("all")), ["sample"], "first", "second").select(
-        "sample", F.round("diff_mean", 6).alias("diff_mean"), "n", "statistic", F.round("p", 6).alias("wilcoxon_p"))
+    """Every two consecutive years, paired by city and month over all regions: more than 50 pairs, so the normal approximation."""
+    daily = tables.city_daily(spark, folder).withColumn("month", F.month("date"))
+    tested = ranktests.signed_rank(_consecutive_years(daily, ["city", "month"], 0), ["year"], "first", "second")
+    return tested.filter(F.col("n") > ranktests.EXACT_SIGNED_RANK_SIZE).select(
+        "year", F.round("diff_mean", 6).alias("diff_mean"), "n", "statistic", F.round("p", 6).alias("wilcoxon_p"))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -116,7 +124,15 @@ ranked AS (
   SELECT {key}, gap, rank() OVER (PARTITION BY {key} ORDER BY abs(gap))
          + (count(*) OVER (PARTITION BY {key}, abs(gap)) - 1) / 2 AS r
   FROM gaps WHERE gap <> 0),
-sums AS (SELECT {key}, sum(r) FILTER (gap > 0) AS plus, sum(r) AS every, list(r) AS ranks FROM ranked GROUP BY {key})"""
+sums AS (SELECT {key}, coalesce(sum(r) FILTER (gap > 0), 0) AS plus, sum(r) AS every, list(r) AS ranks FROM ranked GROUP BY {key})"""
+
+
+def _consecutive_sql(keys: str, digits: int) -> str:
+    return f"""yearly AS (
+  SELECT {keys.replace('month(date)', 'month(date) AS month')}, year(date) AS year, round(avg(pm25), {digits}) AS mean FROM city_daily GROUP BY ALL),
+pairs AS (
+  SELECT a.*, a.mean AS first, b.mean AS second FROM yearly a JOIN yearly b
+  ON {' AND '.join(f'a.{k} = b.{k}' for k in keys.replace('month(date)', 'month').split(', '))} AND b.year = a.year + 1)"""
 
 
 ORACLE = {
@@ -176,31 +192,26 @@ ORACLE = {
       SELECT city, year, n1, n2, any_value(u) AS u,
              round(least(1.0::DOUBLE, 2 * avg(CAST(w >= greatest(u, n1 * n2 - u) AS DOUBLE))), 6) AS p
       FROM sums JOIN possible USING (n1, n2) GROUP BY city, year, n1, n2""",
-    "wilcoxon_pairs": views.with_views(views.CITY_DAILY, """pairs AS (
-        SELECT "group", city, round(avg(pm25) FILTER (year(date) = 1996), 1) AS first,
-               round(avg(pm25) FILTER (year(date) = 1997), 1) AS second FROM city_daily GROUP BY ALL)""",
-        _signed_rank_sql("pairs", '"group"'), """signs AS (
-        SELECT "group", plus, every, ranks, unnest(range(CAST(2 ** len(ranks) AS BIGINT))) AS mask FROM sums),
+    "wilcoxon_pairs": views.with_views(views.CITY_DAILY, _consecutive_sql('"group", city', 1),
+        _signed_rank_sql("pairs", '"group", year'), """signs AS (
+        SELECT "group", year, plus, every, ranks, unnest(range(CAST(2 ** len(ranks) AS BIGINT))) AS mask FROM sums),
       possible AS (
-        SELECT "group", plus, list_sum([CASE WHEN (mask >> (i - 1)) % 2 = 1 THEN ranks[i] ELSE 0 END
-                                        for i in range(1, len(ranks) + 1)]) AS w FROM signs),
-      tails AS (SELECT "group", avg(CAST(w <= plus AS DOUBLE)) AS low, avg(CAST(w >= plus AS DOUBLE)) AS high
-                FROM possible GROUP BY "group")""") + """
-      SELECT "group", round(diff_mean, 4) AS diff_mean, n, least(plus, every - plus) AS statistic,
-             round(least(1.0, 2 * least(low, high)), 4) AS wilcoxon_p, least(1.0, 2 * least(low, high)) < 0.05
-             AS significant FROM means JOIN sums USING ("group") JOIN tails USING ("group")""",
-    "wilcoxon_months": views.with_views(views.CITY_DAILY, """pairs AS (
-        SELECT city, 'all' AS sample,
-               round(avg(pm25) FILTER (year(date) = 1996), 0) AS first,
-               round(avg(pm25) FILTER (year(date) = 1997), 0) AS second
-        FROM city_daily GROUP BY city, month(date))""",
-        _signed_rank_sql("pairs", "sample"), """ties AS (
-        SELECT sample, sum(t::DOUBLE * t * t - t) AS ties FROM (
-          SELECT sample, abs(gap) AS size, count(*) AS t FROM gaps WHERE gap <> 0 GROUP BY ALL) GROUP BY sample),
+        SELECT "group", year, plus, list_sum([CASE WHEN (mask >> (i - 1)) % 2 = 1 THEN ranks[i] ELSE 0 END
+                                              for i in range(1, len(ranks) + 1)]) AS w FROM signs),
+      tails AS (SELECT "group", year, avg(CAST(w <= plus AS DOUBLE)) AS low, avg(CAST(w >= plus AS DOUBLE)) AS high
+                FROM possible GROUP BY "group", year)""") + """
+      SELECT "group", year, round(diff_mean, 4) AS diff_mean, n, least(plus, every - plus) AS statistic,
+             round(coalesce(least(1.0, 2 * least(low, high)), 1.0), 4) AS wilcoxon_p,
+             coalesce(least(1.0, 2 * least(low, high)), 1.0) < 0.05 AS significant
+      FROM means LEFT JOIN sums USING ("group", year) LEFT JOIN tails USING ("group", year)""",
+    "wilcoxon_months": views.with_views(views.CITY_DAILY, _consecutive_sql("city, month(date)", 0),
+        _signed_rank_sql("pairs", "year"), """ties AS (
+        SELECT year, sum(t::DOUBLE * t * t - t) AS ties FROM (
+          SELECT year, abs(gap) AS size, count(*) AS t FROM gaps WHERE gap <> 0 GROUP BY ALL) GROUP BY year),
       zs AS (
         SELECT *, least(plus, every - plus) AS statistic, (least(plus, every - plus) - n * (n + 1) / 4)
                / sqrt((n * (n + 1.0::DOUBLE) * (2 * n + 1) - ties / 2) / 24) AS z
-        FROM means JOIN sums USING (sample) JOIN ties USING (sample))""") + f"""
-      SELECT sample, round(diff_mean, 6) AS diff_mean, n, statistic, round({views.two_sided_p_sql('z')}, 6) AS wilcoxon_p
+        FROM means JOIN sums USING (year) JOIN ties USING (year) WHERE n > 50)""") + f"""
+      SELECT year, round(diff_mean, 6) AS diff_mean, n, statistic, round({views.two_sided_p_sql('z')}, 6) AS wilcoxon_p
       FROM zs""",
 }
