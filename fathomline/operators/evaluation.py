@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fathomline.operators.ranks import running_by_value
 from fathomline.operators.ranktests import signed_rank
 
 # Box-plot quartiles and whisker reach, share of the final accuracy that counts as reached.
@@ -47,9 +50,36 @@ def gain_over_baseline(scores: DataFrame, baseline: str) -> DataFrame:
     return scores.withColumn("gain_pp", (F.col("r2") - base) * 100)
 
 
+def exact_quantiles(values: DataFrame, by: list[str], value: str, shares: list[float]) -> DataFrame:
+    """Quantiles of every group, between the two nearest values by distance: the columns of `by`, and an array q.
+
+    Equal values are counted first; running counts over ranges of values (see ranks) tell which values hold the wanted
+    places, so no task holds a group, however many distinct values it has. Nulls don't count; NaN is larger than all
+    numbers.
+    """
+    counts = values.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("v")).agg(
+        F.count(F.lit(1)).alias("same"))
+    running = running_by_value(counts, by, "v", ["same"])
+    totals = running.groupBy(*by).agg(F.sum("same").alias("n"))
+    placed = running.join(totals, by)
+    wanted, picked = [], []
+    for k, share in enumerate(shares):
+        # A place as good as whole is whole: 0.1 x 10 may miss 1 by a rounding.
+        at = F.round((F.col("n") - 1) * F.lit(float(share)), 9)
+        for name, place in ((f"low{k}", F.floor(at)), (f"high{k}", F.ceil(at))):
+            inside = (F.col("same_before") <= place) & (place < F.col("same_before") + F.col("same"))
+            wanted.append(inside)
+            picked.append(F.max(F.when(inside, F.col("v"))).alias(name))
+        picked.append(F.max(at - F.floor(at)).alias(f"part{k}"))
+    held = placed.filter(reduce(lambda a, b: a | b, wanted))
+    between = [F.col(f"low{k}") + F.when(F.col(f"part{k}") > 0, (F.col(f"high{k}") - F.col(f"low{k}")) * F.col(f"part{k}")).otherwise(0.0)
+               for k in range(len(shares))]
+    return held.groupBy(*by).agg(*picked).select(*by, F.array(*between).alias("q"))
+
+
 def box_summary(scores: DataFrame, by: list[str]) -> DataFrame:
     """Quartiles and whiskers: the outermost scores within 1.5 box heights of the box."""
-    quartiles = scores.groupBy(*by).agg(F.percentile("score", list(QUARTILES)).alias("q"))
+    quartiles = exact_quantiles(scores, by, "score", list(QUARTILES))
     boxes = quartiles.select(*by, *[F.get("q", F.lit(i)).alias(n) for i, n in enumerate(("q1", "median", "q3"))])
     reach = WHISKER * (F.col("q3") - F.col("q1"))
     inside = F.col("score").between(F.col("q1") - reach, F.col("q3") + reach)

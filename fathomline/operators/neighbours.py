@@ -1,19 +1,22 @@
-"""Exact k-nearest-neighbour classification in tiles.
-
-Rows are dealt by a hash into parts of about a thousand. A tile compares one part of test rows with one part of train
-rows for all scenarios that use them, as a matrix product that proposes neighbours and plain differences that decide,
-and emits the k nearest of the tile only. Rows between the steps are at most test rows x k x train parts per scenario;
-features travel once per tile, never once per scenario. Exact search compares all test rows with all train rows, in
-blocks; it does not get cheaper than that.
+"""Exact k-nearest-neighbour classification on a grid of tiles.
+
+With P times a thousand rows, test and train rows are dealt by a hash into sqrt(P) parts each, and a tile compares one
+part of either side for all scenarios that use them: each row travels at most sqrt(P) times as a test and as a train row.
+In a tile, rows lie in order of the leading principal component of the train rows. Blocks of them are met from near to
+far, and a block is left out once its distance along that component alone exceeds the k-th distance found; of the
+others, only pairs that are near enough in the leading components are compared in full. Both are lower bounds, so no
+neighbour is missed. A tile emits the k nearest of each of its test rows only.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +30,8 @@ DISTANCE_DIGITS = 9
 # Relative and absolute allowance on a proposed distance: covers its rounding, so that no neighbour is missed.
 SLACK = 2e-9
 ELEMENTS_AT_ONCE = 1_000_000
+# Leading components whose distance is a first bound, and the share of a block that may pass it and still go pair by pair.
+LEADING, FEW_PAIRS = 8, 0.1
 
 
 def scaling(placed: DataFrame) -> DataFrame:
@@ -43,33 +48,85 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype("float64")
 
 
-def _closest(tests: np.ndarray, trains: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row of the test, row of the train and squared distance of the k nearest; equal distances in train order."""
-    test_size, train_size = (tests ** 2).sum(axis=1)[:, None], (trains ** 2).sum(axis=1)[None, :]
-    proposed = test_size + train_size - 2 * tests @ trains.T
-    wanted = min(k, len(trains))
-    limit = np.partition(proposed, wanted - 1, axis=1)[:, [wanted - 1]] + SLACK * (1 + test_size + train_size.max())
-    test_at, train_at = np.nonzero(proposed <= limit)
-    step = max(1, ELEMENTS_AT_ONCE // max(1, tests.shape[1]))
-    squared = np.round(np.concatenate([
-        ((tests[test_at[at:at + step]] - trains[train_at[at:at + step]]) ** 2).sum(axis=1)
-        for at in range(0, len(test_at), step)]), DISTANCE_DIGITS)
-    order = np.lexsort((train_at, squared, test_at))
-    test_at, train_at, squared = test_at[order], train_at[order], squared[order]
-    near = np.arange(len(test_at)) - np.searchsorted(test_at, test_at) < k
-    return test_at[near], train_at[near], squared[near]
-
-
-def nearest_rows(placed: DataFrame, k: int = NEIGHBOURS, tile_rows: int | None = None) -> DataFrame:
+def _apart(tests: np.ndarray, trains: np.ndarray) -> np.ndarray:
+    return (tests ** 2).sum(axis=1)[:, None] + (trains ** 2).sum(axis=1)[None, :] - 2 * tests @ trains.T
+
+
+def _leading_components(rows: np.ndarray) -> np.ndarray:
+    """Orthonormal columns along which the rows vary most; distances along them are never longer than the whole ones."""
+    centred = rows - rows.mean(axis=0)
+    return np.linalg.eigh(centred.T @ centred)[1][:, ::-1][:, :LEADING]
+
+
+def _closest(tests: np.ndarray, trains: np.ndarray, k: int, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Row of the test, row of the train and squared distance of the k nearest, and the number of pairs compared in full.
+
+    Equal distances go in train order. Work is in blocks of at most `block` rows of either side.
+    """
+    basis = _leading_components(trains)
+    near_tests, near_trains = tests @ basis, trains @ basis
+    order = np.argsort(near_trains[:, 0], kind="stable")
+    slack = SLACK * (1 + (tests ** 2).sum(axis=1) + (trains ** 2).sum(axis=1).max())
+    blocks = [order[at:at + block] for at in range(0, len(order), block)]
+    ends = np.array([near_trains[rows[[0, -1]], 0] for rows in blocks])
+    found, compared, test_order = [], 0, np.argsort(near_tests[:, 0], kind="stable")
+    for at in range(0, len(tests), block):
+        mine = test_order[at:at + block]
+        low, high = near_tests[mine[0], 0], near_tests[mine[-1], 0]
+        gaps = np.maximum(0, np.maximum(ends[:, 0] - high, low - ends[:, 1])) ** 2
+        limit = np.full(len(mine), np.inf)
+        best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        for b in np.argsort(gaps, kind="stable"):
+            if gaps[b] > (limit + slack[mine]).max():
+                break
+            theirs = blocks[b]
+            passed = _apart(near_tests[mine], near_trains[theirs]) <= (limit + slack[mine])[:, None]
+            if passed.mean() > FEW_PAIRS:
+                proposed = _apart(tests[mine], trains[theirs])
+                compared += proposed.size
+                wanted = min(k, len(theirs))
+                top = np.minimum(limit, np.partition(proposed, wanted - 1, axis=1)[:, wanted - 1] if wanted == k else np.inf)
+                passed = proposed <= (top + slack[mine])[:, None]
+            else:
+                compared += int(passed.sum())
+            i, j = np.nonzero(passed)
+            step = max(1, ELEMENTS_AT_ONCE // max(1, tests.shape[1]))
+            squared = np.concatenate([np.zeros(0)] + [
+                ((tests[mine[i[p:p + step]]] - trains[theirs[j[p:p + step]]]) ** 2).sum(axis=1) for p in range(0, len(i), step)])
+            i, j, squared = (np.concatenate(x) for x in zip(best, (i, theirs[j], np.round(squared, DISTANCE_DIGITS))))
+            rank = np.lexsort((j, squared, i))
+            i, j, squared = i[rank], j[rank], squared[rank]
+            place = np.arange(len(i)) - np.searchsorted(i, i)
+            limit[i[place == k - 1]] = squared[place == k - 1]
+            best = tuple(x[place < k] for x in (i, j, squared))
+        found.append((mine[best[0]], best[1], best[2]))
+    return *(np.concatenate(x) for x in zip(*found)), compared
+
+
+class PairCount:
+    """Pairs of a test and a train row of a scenario that tiles met, and how many of them they compared in full."""
+
+    def __init__(self, spark: SparkSession):
+        self.met, self.compared = (spark.sparkContext.accumulator(0) for _ in range(2))
+
+    @property
+    def share(self) -> float:
+        return self.compared.value / max(1, self.met.value)
+
+
+def nearest_rows(placed: DataFrame, k: int = NEIGHBOURS, tile_rows: int | None = None, count: PairCount | None = None) -> DataFrame:
     """The k nearest train rows of every test row in every scenario: scenario, row_id, label, candidate, place.
 
+    `count` is filled when the result is computed (again for every repeated task).
+
     `placed` is a table of `scenarios.place`. Features are scaled with the train rows of the scenario. Train rows at
     the same distance come in the order of their row_id. A scenario without train rows finds nothing.
     """
     placed = cut_lineage(placed)
     scales = placed.sparkSession.sparkContext.broadcast(  # one row per scenario, and those the caller lists
         {r["scenario"]: (np.array(r["means"]), np.array(r["stds"])) for r in scaling(placed).collect()})
-    parts = 1 + placed.count() // (tile_rows or TILE_ROWS)
+    block = tile_rows or TILE_ROWS
+    parts = math.ceil(math.sqrt(1 + placed.count() // block))
     own, every = F.pmod(F.xxhash64("row_id"), F.lit(parts)), F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     tests = placed.filter(F.size("tests") > 0).select(
         own.alias("test_part"), every.alias("train_part"), "row_id", "label", "features", "tests")
@@ -88,8 +145,11 @@ def nearest_rows(placed: DataFrame, k: int = NEIGHBOURS, tile_rows: int | None =
             tested = np.flatnonzero([name in names for names in left["tests"]])
             trained = np.flatnonzero([name in names for names in right["trains"]])
             if len(tested) and len(trained):
-                test_at, train_at, squared = _closest(
-                    (test_values[tested] - means) / stds, (train_values[trained] - means) / stds, k)
+                test_at, train_at, squared, compared = _closest(
+                    (test_values[tested] - means) / stds, (train_values[trained] - means) / stds, k, block)
+                if count is not None:
+                    count.met.add(len(tested) * len(trained))
+                    count.compared.add(compared)
                 mine, theirs = left.iloc[tested[test_at]], right.iloc[trained[train_at]]
                 found.append(pd.DataFrame({
                     "scenario": name, "row_id": mine["row_id"].to_numpy(), "label": mine["label"].to_numpy(),

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fathomline.operators import linear, models, scenarios, trees
+from fathomline.operators import linear, models, neighbours, scenarios, trees
 from fathomline.operators import folds
 
 
@@ -202,3 +202,41 @@ def test_scenarios_fitted_together_are_those_fitted_alone(spark):
     alone = models.classifiers(trees=4, rounds=4)["GBDT"](scenarios.place(features, one, ["fold"]))
     expected = {(r["row_id"], r["prediction"]) for r in alone.collect()}
     assert {(r["row_id"], r["prediction"]) for r in together.filter("scenario like '%2%'").collect()} == expected and len(expected) == 20
+
+
+def test_neighbours_in_blocks_equal_plain_distances():
+    draw = np.random.default_rng(12)
+    for spread in ([1, 1, 1], [30, 1, 0.01]):
+        trains, tests = (draw.normal(size=(n, 3)).round(1) * spread for n in (230, 61))
+        trains[::5] = trains[0]
+        i, j, squared, compared = neighbours._closest(tests, trains, 5, 16)
+        apart = np.round(((tests[:, None] - trains[None]) ** 2).sum(axis=2), neighbours.DISTANCE_DIGITS)
+        expected = np.argsort(apart, axis=1, kind="stable")[:, :5]
+        rank = np.lexsort((j, squared, i))
+        assert (i[rank] == np.repeat(np.arange(61), 5)).all() and (j[rank].reshape(61, 5) == expected).all()
+        assert compared <= trains.shape[0] * len(tests)
+    assert compared < 0.5 * trains.shape[0] * len(tests)
+    few = neighbours._closest(tests[:3], trains[:2], 5, 16)
+    assert len(few[0]) == 6
+
+
+def test_rows_travel_once_for_each_part_of_the_other_side(spark):
+    draw = np.random.default_rng(13)
+    labels = draw.integers(0, 2, size=128)
+    placed = placed_of(spark, labels, draw.normal(size=(128, 2)))
+    count = neighbours.PairCount(spark)
+    assert len(neighbours.nearest_rows(placed, 3, 8, count).collect()) == 3 * (43 + 64)
+    assert count.met.value == 43 * 85 + 64 * 64 and 0 < count.share <= 1
+
+
+def test_exact_quantiles_of_a_large_group(spark, monkeypatch):
+    from fathomline.operators import evaluation, ranks
+    monkeypatch.setattr(ranks, "ROWS_PER_RANGE", 10_000)
+    monkeypatch.setattr(ranks.running_by_value, "__defaults__", (10_000,))
+    n = 500_000
+    large = spark.range(n).select(F.lit("a").alias("g"), ((F.col("id") * 7919) % n / 1000).alias("v"))
+    small = spark.createDataFrame([("b", 1.0), ("b", 4.0), ("b", None), ("c", 2.0), ("c", 2.0), ("c", 9.0)], "g string, v double")
+    shares = [0.0, 0.1, 0.25, 0.5, 1.0]
+    found = {r["g"]: r["q"] for r in evaluation.exact_quantiles(large.unionByName(small), ["g"], "v", shares).collect()}
+    assert found["a"] == pytest.approx([q * (n - 1) / 1000 for q in shares], abs=1e-9)
+    assert found["b"] == pytest.approx([1.0, 1.3, 1.75, 2.5, 4.0]) and found["c"] == pytest.approx([2.0, 2.0, 2.0, 2.0, 9.0])
