@@ -102,6 +102,16 @@ def landed_ties(spark: SparkSession, folder: str) -> DataFrame:
     return landing.stored_payloads(tied).select("cache_key", "url", "fetched_at")
 
 
+def store_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """The first and the second fetch of the pages merged into a store as two batches, and the first batch once more."""
+    store = new_shared_folder(spark, "store")
+    pages = tables.landed_pages(spark, folder)
+    again = F.col("fetched_at") >= 1000000
+    for batch in (pages.filter(~again), pages.filter(again), pages.filter(~again)):
+        landing.merge_batch(batch, store)
+    return landing.read_store(spark, store).select("cache_key", "url", "fetched_at", F.md5("payload").alias("payload_md5"))
+
+
 def request_urls(spark: SparkSession, folder: str) -> DataFrame:
     pages = tables.table(spark, folder, "pages")
     title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
@@ -159,7 +169,7 @@ def report_files(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     daily_rollup, valid_rate, station_ranking, ranking_ends, table_profile, month_group_pivot, season_ratio,
     season_flag_means, exceed_share, exceed_share_daily, city_month_features, one_hot_city, landed_latest,
-    landed_first, landed_ties, request_urls, json_inline, csv_files, response_files, report_files)}
+    landed_first, landed_ties, store_latest, request_urls, json_inline, csv_files, response_files, report_files)}
 
 _daily = views.with_views(views.CITY_DAILY)
 _hourly = views.with_views(views.STATION_HOURLY)
@@ -239,3 +249,5 @@ ORACLE = {
              round(count(*) FILTER (pm25 > 250) * 100.0 / count(*), 6) AS exceed_percent
       FROM city_daily GROUP BY ALL""",
 }
+
+ORACLE["store_latest"] = ORACLE["landed_latest"]

@@ -25,8 +25,14 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return nan_to_null(spark.read.schema(schema).option("header", True).csv(path))
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+BYTE_ORDER_MARK = "\ufeff"
+
+
+def write_csv(df: DataFrame, path: str, byte_order_mark: bool = True) -> None:
+    """Header CSV in UTF-8; every file begins with the byte-order mark that spreadsheets look for, unless it is not wanted."""
+    first, *others = df.columns
+    named = df.toDF(BYTE_ORDER_MARK + first, *others) if byte_order_mark else df
+    named.write.mode("overwrite").option("header", True).csv(path)
 
 
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
