@@ -18,7 +18,8 @@ sys.path.insert(0, ROOT)
 HEADLINE = [
     "daily_rollup", "station_ranking", "season_ratio", "exceed_share", "city_month_features", "landed_latest",
     "ztest_segments", "aa_replay", "mann_whitney_season", "wilcoxon_months", "heading_chunks", "term_stats",
-    "bm25_topk", "tfidf_cosine_topk", "hybrid_topk", "stratified_folds", "knn_cv_accuracy", "significance_tests", "knn_learning_curve", "dq_report"]
+    "bm25_topk", "tfidf_cosine_topk", "hybrid_topk", "stratified_folds", "knn_cv_accuracy", "significance_tests", "knn_learning_curve", "dq_report",
+    "bm25_stored", "store_latest", "linear_scores", "bench_table"]
 
 
 def main() -> None:
