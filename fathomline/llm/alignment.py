@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from fathomline.llm.common import landed, pick
 from fathomline.llm.tokens import _BESIDE, _SINGLE, _Words, _byte_alphabet, default_vocabulary, encoder
 
-#: Characters of text whose tokens are one Arrow table.
-BATCH_TEXT = 1 << 20
+#: Bytes of text whose tokens are one Arrow table.
+BATCH_TEXT = 1 << 19
 #: Links that are spelt out at a time, and pairs that a task counts before it hands them on.
 LINKS_AT_ONCE, PAIRS_AT_ONCE = 1 << 20, 1 << 21
 #: The pairs that most documents hold are sent to every executor: at most so many, of 17 bytes each.
@@ -237,17 +237,16 @@ def align(texts: list[str | None], of: tuple[_Side, _Side], with_groups: bool =
 _FIELDS = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<long>"
 
 
-def _slices(texts: list[str | None], most: int) -> Iterator[slice]:
-    """Runs of texts of at most `most` characters together; a longer text is alone."""
-    begin, size = 0, 0
-    for at, text in enumerate(texts):
-        length = len(text) if text else 0
-        if size and size + length > most:
+def _slices(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Runs of texts of at most `most` bytes together; a longer text is alone."""
+    begin, total = 0, 0
+    for at, size in enumerate(sizes.tolist()):
+        if total and total + size > most:
             yield slice(begin, at)
-            begin, size = at, 0
-        size += length
-    if begin < len(texts):
-        yield slice(begin, len(texts))
+            begin, total = at, 0
+        total += size
+    if begin < len(sizes):
+        yield slice(begin, len(sizes))
 
 
 def aligned_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", vocabulary: str | None = None,
@@ -264,9 +263,9 @@ def aligned_documents(docs: DataFrame, id_column: str = "doc_id", text_column: s
     def aligned(batches):
         of = sides(*files)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for part in _slices(texts, batch_text):
-                found = align(texts[part], of)
+            texts = batch.column("text")
+            for part in _slices(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), batch_text):
+                found = align(texts[part].to_pylist(), of)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c)[part] for c in ("row", "id")] + list(found.values()), ["row", "id", *found])
 
