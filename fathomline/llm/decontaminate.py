@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,74 +23,128 @@ BLOCK_CHARS = 8_000_000
 PIECE_WORDS = 2_000
 
 
+_MIX = 0x9E3779B1
+_KEY = (1 << 62) - 1
+
+
 class _Table:
-    """Wu-Manber tables for the windows of one length, all of `length` words."""
+    """Wu-Manber tables for the windows of one length, as flat arrays: no object is kept per window.
+
+    A block is known by a key of the hashes of its words. Blocks that share a slot of the shift table share the shorter shift, so
+    collisions cost a look, never a hit; an occurrence is settled by comparing the bytes of the window. Windows are sorted by the key
+    of their last and of their first block; equal windows are one entry with a run of item numbers.
+    """
 
-    def __init__(self, length: int):
+    def __init__(self, length: int, pieces: list[tuple[int, bytes]]):
+        """`pieces` are (item number, words joined by one space), each of at least `length` words."""
         self.length, self.block = length, min(BLOCK_WORDS, length)
-        self.jump = length - self.block + 1
-        self.shift: dict = {}
-        self.buckets: dict = {}
-
-    def add(self, item: int, words: list[bytes]) -> None:
-        """Add every window of an item: shifts by block, and a bucket by last block and first block."""
-        keys = list(zip(*(words[k:] for k in range(self.block))))
-        last, shift = self.length - self.block, self.shift
-        for at, key in enumerate(keys):
-            # The block ends some window at its position in it; the later in a window, the shorter the shift.
-            position = min(last, at)
-            if last - position < shift.get(key, self.jump):
-                shift[key] = last - position
-        for start in range(len(words) - self.length + 1):
-            bucket = self.buckets.setdefault(keys[start + last], {})
-            entries = bucket.setdefault(keys[start], [])
-            if not any(w[s:s + self.length] == words[start:start + self.length] and i == item for i, w, s in entries):
-                entries.append((item, words, start))
-
-    def search(self, words: list[bytes], keys: list) -> Iterator[tuple[int, list[int]]]:
-        """Start and items of every occurrence. `keys` are the blocks of the document."""
-        length, jump, last = self.length, self.jump, self.length - self.block
-        at, end, shift = last, len(keys), self.shift.get
+        self.last = length - self.block
+        self.text = b" ".join(text for _, text in pieces)
+        buffer = np.frombuffer(self.text, np.uint8)
+        gaps = np.flatnonzero(buffer == 32)
+        begins, ends = np.append(0, gaps + 1).astype(np.int32), np.append(gaps, len(buffer)).astype(np.int32)
+        sizes = np.array([text.count(b" ") + 1 for _, text in pieces], np.int64)
+        hashes = np.concatenate([np.fromiter(map(hash, text.split(b" ")), np.int64) for _, text in pieces])
+        heads = np.repeat(np.cumsum(sizes) - sizes, sizes)
+        offset, left = np.arange(len(hashes)) - heads, np.repeat(sizes, sizes)
+        left -= offset
+        keys = hashes & _KEY
+        if self.block == 2:
+            keys[:-1] = (hashes[:-1] * _MIX ^ hashes[1:]) & _KEY
+
+        # A block ends some window at its place in it; the later in a window, the shorter the shift.
+        slots = 1 << max(10, (8 * len(keys)).bit_length())
+        self.mask = slots - 1
+        shift = np.full(slots, min(255, self.last + 1), np.uint8)
+        whole = left >= self.block
+        steps = np.minimum(255, self.last - np.minimum(self.last, offset[whole])).astype(np.uint8)
+        np.minimum.at(shift, keys[whole] & self.mask, steps)
+        self.shift = shift.tobytes()
+
+        starts = np.flatnonzero(left >= length)
+        ending, first = keys[starts + self.last], keys[starts]
+        content = np.zeros(len(starts), np.int64)
+        for k in range(length):
+            content = content * 0x100000001B3 ^ hashes[starts + k]
+        owner = np.repeat(np.array([item for item, _ in pieces], np.int32), sizes)[starts]
+        order = np.lexsort((owner, content, first, ending))
+        starts, ending, first, content, owner = (x[order] for x in (starts, ending, first, content, owner))
+        low, high = begins[starts], ends[starts + length - 1]
+        again = np.zeros(len(starts), bool)
+        again[1:] = (ending[1:] == ending[:-1]) & (first[1:] == first[:-1]) & (content[1:] == content[:-1])
+        for k in np.flatnonzero(again).tolist():
+            again[k] = self.text[low[k - 1]:high[k - 1]] == self.text[low[k]:high[k]]
+        fresh = ~again
+        fresh[1:] |= owner[1:] != owner[:-1]
+        heads = np.flatnonzero(~again)
+        self.ending, self.first, self.low, self.high = ending[heads], first[heads], low[heads], high[heads]
+        self.owners = owner[fresh]
+        self.runs = np.append(np.cumsum(fresh)[heads] - 1, len(self.owners))
+
+    def search(self, words: list[bytes]) -> Iterator[tuple[int, int]]:
+        """Start and number of the window of every occurrence."""
+        last, shift, mask, pair = self.last, self.shift, self.mask, self.block == 2
+        at, end = last, len(words) - self.block + 1
         while at < end:
-            key = keys[at]
-            step = shift(key, jump)
+            key = (hash(words[at]) * _MIX ^ hash(words[at + 1])) & _KEY if pair else hash(words[at]) & _KEY
+            step = shift[key & mask]
             if step:
                 at += step
                 continue
-            start = at - last
-            entries = self.buckets[key].get(keys[start])
-            if entries:
-                window = words[start:start + length]
-                items = [i for i, w, s in entries if w[s:s + length] == window]
-                if items:
-                    yield start, items
+            low, high = self.ending.searchsorted(key, "left"), self.ending.searchsorted(key, "right")
+            if low < high:
+                start = at - last
+                key = (hash(words[start]) * _MIX ^ hash(words[start + 1])) & _KEY if pair else key
+                heads = self.first[low:high]
+                window = None
+                for entry in range(low + heads.searchsorted(key, "left"), low + heads.searchsorted(key, "right")):
+                    window = window or b" ".join(words[start:start + self.length])
+                    if self.text[self.low[entry]:self.high[entry]] == window:
+                        yield start, entry
+                        break
             at += 1
 
+    def items(self, entry: int) -> list[int]:
+        """Numbers of the items that have a window."""
+        return self.owners[self.runs[entry]:self.runs[entry + 1]].tolist()
+
 
 class Matcher:
     """All windows of some benchmark pieces; windows of the full length share one table, shorter items have their own."""
 
     def __init__(self, pieces: Iterable[tuple[str, bytes]], window: int = WINDOW_WORDS):
-        self.names: list[str] = []
-        self.tables: dict[int, _Table] = {}
+        numbers: dict[str, int] = {}
+        by_length: dict[int, list[tuple[int, bytes]]] = {}
         for name, text in pieces:
-            words = text.split(b" ")
-            length = min(window, len(words))
-            self.names.append(name)
-            self.tables.setdefault(length, _Table(length)).add(len(self.names) - 1, words)
+            length = min(window, text.count(b" ") + 1)
+            by_length.setdefault(length, []).append((numbers.setdefault(name, len(numbers)), text))
+        self.names = list(numbers)
+        self.tables = [_Table(length, found) for length, found in by_length.items()]
 
     def hits(self, words: list[bytes]) -> tuple[list[int], list[str]]:
         """Merged [start, end) positions of the hit words, flat, and the items that occur."""
-        spans, found, blocks = [], set(), {}
-        for length, searched in self.tables.items():
-            if searched.block not in blocks:
-                blocks[searched.block] = list(zip(*(words[k:] for k in range(searched.block))))
-            for start, items in searched.search(words, blocks[searched.block]):
-                spans.append((start, start + length))
-                found.update(items)
+        spans, found = [], set()
+        for searched in self.tables:
+            entries = set()
+            for start, entry in searched.search(words):
+                spans.append((start, start + searched.length))
+                entries.add(entry)
+            for entry in entries:
+                found.update(searched.items(entry))
         return merged(spans), sorted({self.names[i] for i in found})
 
 
+_MATCHERS: dict[tuple[str, int], Matcher] = {}
+
+
+def matcher_of(shared, token: str, window: int) -> Matcher:
+    """The tables of a broadcast block, built once by a worker process and kept until it meets another block."""
+    if (token, window) not in _MATCHERS:
+        _MATCHERS.clear()
+        _MATCHERS[token, window] = Matcher(shared.value, window)
+    return _MATCHERS[token, window]
+
+
 def merged(spans: list[tuple[int, int]]) -> list[int]:
     """Union of intervals as a flat list of starts and ends."""
     flat: list[int] = []
@@ -121,8 +177,10 @@ def _pieces(window: int):
 
 
 def _scan(shared, window: int):
+    token = uuid.uuid4().hex
+
     def scan(batches):
-        matcher = Matcher(shared.value, window)
+        matcher = matcher_of(shared, token, window)
         for batch in batches:
             ids, numbers, texts, rows = *(batch[c].to_pylist() for c in ("id", "row", "text")), []
             for i, row, text in zip(ids, numbers, texts):
@@ -215,8 +273,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "
 
 def _clean(shared, window: int, text_column: str):
     """Whole rows without a hit, as they came."""
+    token = uuid.uuid4().hex
+
     def keep(batches):
-        matcher = Matcher(shared.value, window)
+        matcher = matcher_of(shared, token, window)
         for batch in batches:
             texts = batch[text_column].to_pylist()
             yield batch.filter(pa.array([not matcher.hits(words_of(t))[0] for t in texts], pa.bool_()))
