@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
+import tracemalloc
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -128,6 +130,37 @@ def test_equal_rows_meet_only_their_own_passes(spark, monkeypatch):
     assert sorted((tuple(r) for r in found.collect()), key=str) == brute_contamination([d[:2] for d in docs], items)
 
 
+def test_search_tables_equal_brute_force():
+    rng = random.Random(7)
+    for _ in range(300):
+        letters = ["a", "b", "c"][:rng.choice([1, 2, 3])]
+        items = [(str(rng.randrange(6)), " ".join(rng.choices(letters, k=rng.randrange(1, 15)))) for _ in range(rng.randrange(1, 8))]
+        doc = " ".join(rng.choices([*letters, "z"], k=rng.randrange(40)))
+        flat, found = decontaminate.Matcher([(name, text.encode()) for name, text in items]).hits(doc.encode().split())
+        row = brute_contamination([(1, doc)], items)[0]
+        assert (sum(flat[1::2]) - sum(flat[::2]), found) == row[2:4]
+
+
+def test_search_tables_of_many_items_with_one_window():
+    words = [f"w{k}".encode() for k in range(10)]
+    started = time.monotonic()
+    matcher = decontaminate.Matcher([(str(k), b" ".join([*words, b"x%d" % k])) for k in range(100_000)])
+    assert time.monotonic() - started < 20
+    assert len(matcher.hits(words)[1]) == 100_000 and len(matcher.tables[0].ending) == 100_001
+    assert matcher.hits([*words, b"x77"])[0] == [0, 11]
+
+
+def test_search_tables_stay_small():
+    rng = random.Random(3)
+    vocabulary = [b"%x" % rng.getrandbits(24) for _ in range(50_000)]
+    pieces = [(str(k), b" ".join(rng.choices(vocabulary, k=100))) for k in range(11_500)]
+    tracemalloc.start()
+    matcher = decontaminate.Matcher(pieces)
+    kept, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 250e6 and kept < 100e6 and matcher.tables[0].owners.size > 1_000_000
+
+
 def test_contamination_of_nothing(spark, odd_rows):
     none = spark.createDataFrame([], "item_id long, text string")
     assert all(r.n_hit == 0 for r in decontaminate.find_contamination(docs_of(spark, odd_rows), none).collect())
@@ -341,8 +374,8 @@ def test_components(spark):
 # ---------------------------------------------------------------- 6 exact dedup
 
 
-@pytest.mark.parametrize("broadcast_rows", [200_000, -1])
-def test_exact_copies(spark, odd_rows, broadcast_rows):
+@pytest.mark.parametrize("broadcast_rows, slot_bits", [(200_000, 27), (-1, 27), (-1, 16), (200_000, 0)])
+def test_exact_copies(spark, odd_rows, broadcast_rows, slot_bits):
     rows = odd_rows + [(20, "x  y", None), (21, "x\ty", None), (22, "x y", None), (23, "x y", None), (24, " ", None),
                        (25, "\n\n", None), (26, "a" * 70 + "b", None), (27, "a" * 70 + "c", None)]
     norm = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
@@ -351,12 +384,16 @@ def test_exact_copies(spark, odd_rows, broadcast_rows):
         groups.setdefault(norm(r[1]), []).append(r[0])
     want = sorted(((r[0], min((i for i in groups[norm(r[1])] if i is not None), default=None), len(groups[norm(r[1])]),
                     hashlib.sha256(norm(r[1]).encode()).hexdigest()) for r in rows), key=str)
-    labels = exact_dedup.label_copies(clashing(spark, rows), digest_all=True, broadcast_rows=broadcast_rows).collect()
+    sides = {"broadcast_rows": broadcast_rows, "slot_bits": slot_bits}
+    labels = exact_dedup.label_copies(clashing(spark, rows), digest_all=True, **sides).collect()
     assert sorted(((r.id, r.keep_id, r.group_size, r.text_sha256) for r in labels), key=str) == want
     assert sum(r.kept for r in labels) == len(groups)
     assert all(r.id == r.keep_id for r in labels if r.kept)
-    kept = exact_dedup.keep_first(clashing(spark, rows))
-    assert len(kept.columns) == 10 and kept.count() == len(groups)
+    kept = exact_dedup.keep_first(clashing(spark, rows), **sides)
+    assert len(kept.columns) == 10
+    assert sorted(norm(r.text) for r in kept.collect()) == sorted(groups)
+    hashed = exact_dedup.label_copies(clashing(spark, rows), **sides).filter("text_sha256 is not null").count()
+    assert hashed == (len(rows) if slot_bits == 0 else sum(len(g) for g in groups.values() if len(g) > 1) + 2)
     assert exact_dedup.label_copies(spark.createDataFrame([], DOC)).count() == 0
 
 
