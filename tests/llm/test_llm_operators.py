@@ -65,10 +65,40 @@ def test_language_model(spark):
 def test_language_model_of_nothing(spark):
     empty = spark.createDataFrame([], DOC)
     model = language_id.fit(empty)
-    assert [tuple(r) for r in language_id.classify(docs_of(spark, [(1, "abc", None)]), model).collect()] == [(1, "und", 0.0, True)]
+    assert [tuple(r) for r in language_id.classify(docs_of(spark, [(1, "abc", None)]), model).collect()] == [(1, "und", 0.0, False)]
+    assert [r.id for r in language_id.classify(docs_of(spark, [(1, None, None), (2, "1", None)]), model).collect() if r.rejected] == [1, 2]
+    assert [r.doc_id for r in language_id.keep_known(docs_of(spark, [(1, "abc", None), (2, "12", None)]), model).collect()] == [1]
     assert language_id.classify(empty, model).count() == 0
 
 
+def test_language_model_of_many_labels(spark, odd_rows):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6))
+    words = {f"l{k:04}": [word() for _ in range(6)] for k in range(2_000)}
+    rows = [(k, " ".join(found), label) for k, (label, found) in enumerate(words.items())]
+    docs = clashing(spark, rows + [rows[7]] * 3)
+    blocked, whole = language_id.fit(docs), language_id.fit(docs, block_labels=2_000)
+    assert isinstance(blocked, language_id.BlockedModel) and blocked.blocks == 6 and set(whole.labels) == set(words)
+    assert (blocked.idf == whole.idf).all() and (blocked.least == whole.least).all()
+    tests = [(k, " ".join(reversed(found)), None) for k, found in zip(range(100, 140), words.values())]
+    tests += [*odd_rows, (200, "ЖЖЖЖ ЩЩЩЩ ЫЫЫЫ", None), tests[0]]
+    results = [sorted(((r.id, r.lang_pred, round(r.score, 5), r.rejected) for r in language_id.classify(
+        clashing(spark, tests), model).collect()), key=str) for model in (blocked, whole)]
+    assert results[0] == results[1] and len(results[0]) == len(tests)
+    assert [r[1] for r in results[0] if r[0] in range(101, 140)] == list(words)[1:40]
+    kept = language_id.keep_known(clashing(spark, tests), blocked)
+    assert len(kept.columns) == 10
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted((r[0] for r in results[0] if not r[3]), key=str)
+
+
+def test_equal_labels_go_to_the_first(spark):
+    rows = [(k, "lorem ipsum dolor", label) for k, label in enumerate(["bb", "aa", "bb", "aa", "aa"])]
+    for limit in (1, 500):
+        model = language_id.fit(docs_of(spark, rows), block_labels=limit)
+        found = language_id.classify(docs_of(spark, [(1, "lorem ipsum", None)] * 2), model).collect()
+        assert [r.lang_pred for r in found] == ["aa", "aa"]
+
+
 def test_long_text_has_the_counts_of_all_pieces(monkeypatch):
     text = b"one two three four five " * 50
     whole = language_id.counts(text)
