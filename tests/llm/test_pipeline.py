@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import pytest
 from compare import connect, differences
@@ -72,3 +73,37 @@ def test_stages(spark, small_tables, tokenizer):  # noqa: F811
             want = [r[0] for r in brute_contamination(rows, benchmark) if not r[2]]
         assert sorted(r.doc_id for r in after.collect()) == sorted(want)
         docs = after
+
+
+ODD = "doc_id long, text string, lang string, row long, x_row int, c0 string, id string, x_text string, kept string, block int"
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_on_odd_rows(spark, small_tables, name, stage):
+    """Null, empty, very long, repeated and tied rows, clashing column names, and no row at all."""
+    words = " ".join(f"alpha{k} beta{k % 7}" for k in range(60))
+    long_text = " ".join(f"word{k % 97} other{k % 89}" for k in range(40_000))
+    rows = [(1, None, None), (2, "", "en"), (3, "   ", "en"), (4, words, "en"), (4, words, "en"), (None, words, None),
+            (5, words.replace("alpha3 ", "gamma "), "en"), (6, long_text, "en"), (7, "¡¿ 123 --", "es"), (8, "éa", "fr")]
+    extra = (7, 8, "nine", "ten", "own", "no", 3)
+    docs = spark.createDataFrame([(*r, *extra) for r in rows], ODD).repartition(3)
+    after = landed(stage(spark, docs, small_tables), f"odd-{name}")
+    empty = landed(stage(spark, docs.limit(0), small_tables), f"none-{name}")
+    assert empty.count() == 0 and empty.columns == after.columns
+    if name == "packing":
+        tokens = {r.doc_id: r.doc_tokens for r in after.collect()}
+        assert set(tokens) == {r[0] for r in rows} and tokens[1] == tokens[2] == 1
+        return
+    assert after.columns == docs.columns
+    found = after.collect()
+    assert all(tuple(r)[3:] == extra for r in found)
+    ids = Counter(r.doc_id for r in found)
+    everything = Counter(r[0] for r in rows)
+    if name == "language_id":
+        assert not {1, 2, 3, 7} & set(ids) and {4, 6} <= set(ids)
+    elif name == "exact_dedup":
+        assert ids == Counter([1, 3, 4, 5, 6, 7, 8])
+    elif name == "ngram_join":
+        assert ids == Counter([1, 2, 3, 4, 6, 7, 8])
+    else:
+        assert ids == everything
