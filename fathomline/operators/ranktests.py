@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -21,17 +23,21 @@ DIFFERENCE_DIGITS = 12
 
 
 def _exact_u_p(u: float, n1: int, n2: int) -> float:
-    """Two-sided p of U without ties: the number of arrangements per U, by convolution over sample sizes."""
-    ways = np.zeros(n1 * n2 + 1)
+    """Two-sided p of U without ties: arrangements per U by convolution over sample sizes, up to the nearer end of U only.
+
+    Both tails have equally many arrangements, and no value of U depends on a larger one.
+    """
+    size = int(np.floor(min(u, n1 * n2 - u))) + 1
+    ways = np.zeros(size)
     ways[0] = 1.0
     for i in range(1, n1 + 1):
         widened = ways.copy()
-        widened[n2 + i:] -= ways[:len(ways) - n2 - i]
-        for start in range(i):
+        if n2 + i < size:
+            widened[n2 + i:] -= ways[:size - n2 - i]
+        for start in range(min(i, size)):
             widened[start::i] = np.cumsum(widened[start::i])
         ways = widened
-    tail = ways[int(np.ceil(max(u, n1 * n2 - u))):].sum() / ways.sum()
-    return float(min(1.0, 2 * tail))
+    return float(min(1.0, 2 * ways.sum() / math.comb(n1 + n2, n1)))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -44,7 +50,8 @@ def mann_whitney(samples: DataFrame, by: list[str], value: str, in_first: str,
                  exact_cells: int = EXACT_U_CELLS) -> DataFrame:
     """Two-sided test of the rows where `in_first` holds against the others, one result row per group.
 
-    Values are first counted per side, which is all the test needs; ranks come from running counts.
+    Values are first counted per side, which is all the test needs; ranks come from running counts. `exact` says whether p is of
+    the exact distribution: for samples without ties of which one has at most 8 values, while U has at most `exact_cells` values.
     """
     first = F.col(in_first)
     counts = (samples.filter(F.col(value).isNotNull() & first.isNotNull())
@@ -68,7 +75,7 @@ def mann_whitney(samples: DataFrame, by: list[str], value: str, in_first: str,
     p_exact = exact_u_p(F.when(F.col("exact"), u).otherwise(0.0), F.when(F.col("exact"), n1).otherwise(0.0),
                         F.when(F.col("exact"), n2).otherwise(0.0))
     return parts.withColumn("p", F.when(F.col("exact"), p_exact).otherwise(F.col("p"))).select(
-        *by, n1.cast("long").alias("n1"), n2.cast("long").alias("n2"), "u", "z", "p")
+        *by, n1.cast("long").alias("n1"), n2.cast("long").alias("n2"), "u", "z", "p", "exact")
 
 
 def _exact_signed_rank_p(doubled_ranks: Column, doubled_plus: Column) -> Column:

@@ -128,3 +128,18 @@ def test_positions_are_a_permutation(spark):
 def test_two_sided_p_of_far_tails(spark):
     row = spark.range(1).select(two_sided_p(F.lit(18.6)).alias("p")).first()
     assert row["p"] == pytest.approx(math.erfc(18.6 / math.sqrt(2)), rel=1e-10)
+
+
+def test_exact_u_equals_all_arrangements():
+    for n1, n2 in [(1, 1), (1, 6), (3, 5), (4, 4), (5, 7)]:
+        ways = [sum(chosen) - n1 * (n1 - 1) // 2 for chosen in itertools.combinations(range(n1 + n2), n1)]
+        for u in range(n1 * n2 + 1):
+            far = max(u, n1 * n2 - u)
+            want = min(1.0, 2 * sum(w >= far for w in ways) / len(ways))
+            assert ranktests._exact_u_p(u, n1, n2) == pytest.approx(want, abs=1e-12)
+
+
+def test_the_branch_of_a_rank_test_is_reported(spark):
+    rows = spark.range(40).select(F.lit("g").alias("g"), F.col("id").cast("double").alias("v"), (F.col("id") < 3).alias("first"))
+    assert ranktests.mann_whitney(rows, ["g"], "v", "first").first().exact
+    assert not ranktests.mann_whitney(rows, ["g"], "v", "first", exact_cells=100).first().exact
