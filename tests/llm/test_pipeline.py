@@ -107,3 +107,19 @@ def test_stages_on_odd_rows(spark, small_tables, name, stage):
         assert ids == Counter([1, 2, 3, 4, 6, 7, 8])
     else:
         assert ids == everything
+
+
+def test_token_queries_against_the_tokenizer(spark, small_tables, texts, tokenizer):  # noqa: F811
+    encoded = {i: tokenizer.encode(t, add_special_tokens=False).ids for i, t in texts}
+    check_packing(registry.QUERIES["op7_packing"](spark, small_tables).collect(),
+                  {i: (ids + [1], 1) for i, ids in encoded.items()}, 2048)
+    name = next(n for n in registry.QUERIES if n.startswith("op4_"))
+    lengths = sorted(len(ids) for ids in encoded.values())
+    rows = sorted(registry.QUERIES[name](spark, small_tables).collect(), key=lambda r: r.n_tokens)
+    assert [(r.n_tokens, r.n_docs) for r in rows] == sorted(Counter(lengths).items())
+    for r in rows:
+        shorter, longer = [n for n in lengths if n <= r.n_tokens], [n for n in lengths if n > r.n_tokens]
+        assert (r.docs_at_most, r.tokens_at_most, r.docs_longer, r.tokens_longer) == (
+            len(shorter), sum(shorter), len(longer), sum(longer))
+        assert r.truncated_total == sum(min(n, r.n_tokens) for n in lengths)
+        assert r.tokens_lost == sum(lengths) - r.truncated_total
