@@ -45,7 +45,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", pack),
 ]
 
-#: SQL can't express the language model, the forest's candidates or the tokenizer; the tests hold stages against brute force.
+#: SQL can't express the language model, the candidates of the join or the tokenizer; the tests hold stages against brute force.
 ORACLE_SQL = None
 
 
