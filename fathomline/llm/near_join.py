@@ -1,4 +1,4 @@
-"""Similarity join on word n-grams: MinHash LSH in fixed bands for candidates, exact Jaccard similarity for links."""
+"""Similarity join on word n-grams: a MinHash LSH forest for candidates, exact Jaccard similarity for links."""
 
 from __future__ import annotations
 
@@ -13,12 +13,9 @@ from pyspark.sql import functions as F
 
 from fathomline.llm.common import landed, small_or_shuffled, words_of
 from fathomline.llm.components import components
+from fathomline.llm.forest import DEPTH, TARGET_RECALL, TREES, WIDTH, candidate_links, depth_of, prefix_length
 from fathomline.llm.rolling import Prefixes
 
-#: Bands of a signature, and the most min-hashes that a band may have; prefix_length says how many it has.
-TREES, DEPTH = 24, 8
-#: Share of the pairs at the threshold itself that must meet in a band.
-TARGET_RECALL = 0.999
 #: Texts compared with each other at once; larger groups are dealt out as pairs of such blocks.
 BLOCK = 256
 #: Texts of small groups that one task compares, group by group.
@@ -68,14 +65,6 @@ def signature(hashes: np.ndarray, count: int) -> np.ndarray:
     return least
 
 
-def prefix_length(threshold: float, trees: int = TREES, depth: int = DEPTH, recall: float = TARGET_RECALL) -> int:
-    """Most min-hashes of a band, the same for all texts, with which pairs at the threshold meet with the target recall."""
-    for length in range(depth, 0, -1):
-        if 1 - (1 - threshold ** length) ** trees >= recall:
-            return length
-    return 1
-
-
 def links_between(sets: list[np.ndarray], first: int, threshold: Fraction) -> np.ndarray:
     """Boolean matrix: sets[i] and sets[first + j] (all sets if `first` is 0) have at least the similarity, not itself.
 
@@ -121,19 +110,23 @@ def _roots(count: int, linked: np.ndarray) -> list[int]:
     return [find(x) for x in range(count)]
 
 
-_SKETCH = "row long, id long, n_shingles long, text_set binary, sketch binary"
+_SKETCH = "row long, id long, n_shingles long, depth int, text_set binary, sketch binary"
 _VERIFIED = "u long, v long, links long"
 
 
-def _sketches(size: int, count: int):
+def _sketches(size: int, threshold: Fraction, trees: int, depth: int, recall: float):
+    """Per text: its number of shingles, the depth to which it ascends, a digest of the set and its keys (see forest)."""
+
     def sketch(batches):
         for batch in batches:
             found = [shingles(text, size) for text in batch["text"].to_pylist()]
+            depths = [depth_of(len(s), threshold, trees, depth, recall) if len(s) else None for s in found]
             yield pa.RecordBatch.from_arrays([
-                batch["row"], batch["id"], pa.array([len(s) for s in found], pa.int64()),
+                batch["row"], batch["id"], pa.array([len(s) for s in found], pa.int64()), pa.array(depths, pa.int32()),
                 pa.array([hashlib.sha256(s.tobytes()).digest()[:16] if len(s) else None for s in found], pa.binary()),
-                pa.array([signature(s, count).tobytes() if len(s) else None for s in found], pa.binary())],
-                ["row", "id", "n_shingles", "text_set", "sketch"])
+                pa.array([signature(s, trees * depth).astype(f"u{WIDTH}").tobytes() if at else None
+                          for s, at in zip(found, depths)], pa.binary())],
+                ["row", "id", "n_shingles", "depth", "text_set", "sketch"])
     return sketch
 
 
@@ -186,9 +179,9 @@ def _classes(docs: DataFrame, id_column: str, text_column: str, words: int = 5,
     connected by links, `n_links` the number of documents that one is linked to, and one document of each class is kept.
 
     1. Documents with equal sets are one text from here on; copies count in `n_links` without being compared.
-    2. Each text has a signature of `trees` bands of a fixed length, which reaches the target recall for pairs at the threshold
-       (prefix_length). Texts that agree in any band meet. A band value links its texts to its smallest one, so it gives
-       as many rows as it has texts, never pairs.
+    2. Each text has a key of `depth` min-hashes in each of `trees` sorted tries. It ascends from the longest prefix that it shares with
+       any other to the depth that reaches the target recall for the least similarity a partner of it can have, and meets
+       the texts below that node (see forest). A node links its texts to one of them, never pairs.
     3. Texts connected so are one group, whose sets are compared exactly. Groups of more than BLOCK texts are dealt out as
        pairs of blocks over many tasks; a task keeps counts of links and the components of its blocks, no pairs.
     4. Components of what the tasks found are the classes.
@@ -198,22 +191,17 @@ def _classes(docs: DataFrame, id_column: str, text_column: str, words: int = 5,
     An empty table gives no rows.
     """
     given = docs.columns
-    exact, length = Fraction(threshold).limit_denominator(10_000), prefix_length(threshold, trees, depth, recall)
+    exact = Fraction(threshold).limit_denominator(10_000)
     plain = docs.toDF(*(f"c{i}" for i in range(len(given))))
     rows = landed(plain.withColumn("row", F.monotonically_increasing_id()), "join-texts").withColumns({
         "id": F.col(f"c{given.index(id_column)}").cast("long"), "text": F.col(f"c{given.index(text_column)}").cast("binary")})
-    sketched = landed(rows.select("row", "id", "text").mapInArrow(_sketches(words, trees * length), _SKETCH), "sketches")
+    sketched = landed(rows.select("row", "id", "text").mapInArrow(_sketches(words, exact, trees, depth, recall), _SKETCH), "sketches")
 
     # Equal sets: the first row by number stands for its copies.
     texts = landed(sketched.filter("text_set is not null").groupBy("text_set").agg(
-        F.min("row").alias("row"), F.count("*").alias("copies"), F.first("sketch").alias("sketch")), "texts")
-    width = 4 * length
-    tries = texts.select("row", F.explode(F.transform(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: F.xxhash64(t, F.substring(F.col("sketch"), t * width + 1, F.lit(width))))).alias("node"))
-    nodes = landed(tries.groupBy("node").agg(F.min("row").alias("first"), F.count("*").alias("n")).filter("n > 1")
-                   .select("node", "first"), "trie-nodes")
-    met = tries.join(small_or_shuffled(nodes), "node").select(F.col("row").alias("u"), F.col("first").alias("v"))
+        F.min("row").alias("row"), F.count("*").alias("copies"), F.first("depth").alias("depth"),
+        F.first("sketch").alias("sketch")), "texts")
+    met = candidate_links(texts, prefix_length(threshold, trees, depth, recall), trees, depth)
     groups = landed(components(met), "candidate-groups")
 
     sizes = landed(groups.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "group-sizes")
