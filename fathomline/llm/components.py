@@ -8,23 +8,43 @@ from pyspark.sql import functions as F
 from fathomline.llm.common import landed
 
 
+#: A node with more than one in so many of the edges meets its minimum by a broadcast; there are at most twice as many such nodes.
+HUBS = 2_000
+
+
+def _with_minimum(edges: DataFrame, least: DataFrame, total: int) -> DataFrame:
+    """`edges` with the m of their u, from `least` (u, m, and n edges of u, which add up to 2 * `total` at most).
+
+    The edges of a hub stay where they are, so that no key of the shuffle holds more than a share of 1 / HUBS of them.
+    """
+    many = F.col("n") > total // HUBS + 1
+    hubs = least.filter(many).select("u", "m")
+    rest = edges.join(F.broadcast(hubs.select("u")), "u", "left_anti")
+    return edges.join(F.broadcast(hubs), "u").unionByName(rest.join(least.filter(~many).select("u", "m"), "u"))
+
+
+def _state(stars: DataFrame) -> tuple[int, int | None]:
+    return tuple(stars.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+
+
 def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     """node, root (the smallest node of its component) for each node of the edges (u, v), both long.
 
     Every round links the larger neighbours of a node to its smallest one, then its smaller neighbours; the graph ends as
-    stars. Minima are combined in the tasks before the shuffle, and a node with very many edges meets its minimum in a
-    join whose hot side Spark splits. Self-loops and repeated edges do no harm; nodes without an edge are not in the result.
+    stars. Minima are combined in the tasks before the shuffle, and the edges of a hub meet its minimum without one
+    (_with_minimum). Self-loops and repeated edges do no harm; nodes without an edge are not in the result.
     """
     stars = landed(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "edges")
-    mark = None
+    mark = _state(stars)
     for _ in range(rounds):
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        smallest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("u", "m"))
+        upward = both.filter(F.col("v") > F.col("u"))
+        large = _with_minimum(upward, least, mark[0]).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        smallest = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = _with_minimum(large, smallest, mark[0]).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         stars = landed(small.unionByName(smallest.select("u", F.col("m").alias("v"))).distinct(), "stars")
-        now = stars.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+        now = _state(stars)
         if now == mark:
             break
         mark = now
