@@ -8,9 +8,7 @@ from itertools import combinations
 
 import pytest
 
-from fathomline.llm import components as components_module
 from fathomline.llm import near_join
-from fathomline.llm.components import components
 from fathomline.llm.forest import WIDTH, candidate_links, depth_of, least_similarity, prefix_length
 
 TEXT = "row long, depth int, sketch binary"
@@ -92,16 +90,3 @@ def test_recall_on_a_whole_table(spark):
         wanted, reached = wanted + len(near), reached + found[doc].n_links
         assert found[doc].n_links < len(near) or all(found[o].class_id == found[doc].class_id for o in near)
     assert reached >= 0.99 * wanted
-
-
-@pytest.mark.parametrize("hubs", [1, 4, 2_000])
-def test_components_with_hubs(spark, monkeypatch, hubs):
-    """Two hubs, of the smallest and of the largest node, a chain between them and scattered pairs, whatever counts as a hub."""
-    monkeypatch.setattr(components_module, "HUBS", hubs)
-    rng = random.Random(hubs)
-    edges = ([(0, k) for k in range(1, 60)] + [(999, k) for k in range(100, 160)] + [(k, k + 1) for k in range(300, 312)]
-             + [(59, 300), (312, 130)] + [(rng.randrange(400, 460), rng.randrange(400, 460)) for _ in range(25)] + [(7, 7), (0, 5)])
-    rng.shuffle(edges)
-    nodes = {x for u, v in edges if u != v for x in (u, v)}
-    found = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
-    assert found == roots(edges, nodes)
