@@ -10,6 +10,8 @@ SPACE = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202
 LINE_END = r"\n\x0b\x0c\r\x1c-\x1e\x85\x{2028}\x{2029}"
 BLANK_LINE = rf"\n{SPACE}*\n"
 HEADING = rf"^(#{{1,4}}){SPACE}+([^\n]+)\n?$"
+# Behind a line end, but not inside \r\n.
+AFTER_LINE = rf"(?<=[{LINE_END}])(?<!\r(?=\n))"
 HAN = r"[\x{4e00}-\x{9fff}]"
 LATIN_OR_HAN_RUN = rf"[a-z0-9]+|{HAN}+"
 ANY_WORD_OR_HAN_RUN = rf"{HAN}+|[\p{{L}}\p{{N}}&&[^\x{{4e00}}-\x{{9fff}}]]+"
@@ -24,8 +26,11 @@ def strip_tags(text: Column) -> Column:
 
 
 def lines_with_ends(text: Column) -> Column:
-    """Lines of a text, each keeping its line end, so that joining them gives the text back."""
-    return F.regexp_extract_all(text, F.lit(rf"[^{LINE_END}]*(?:\r\n|[{LINE_END}])|[^{LINE_END}]+"), F.lit(0))
+    """Lines of a text, each keeping its line end, so that joining them gives the text back.
+
+    Split at the ends: matching whole lines tries every character of a line against all line ends, eight times the work.
+    """
+    return F.array_remove(F.split(text, AFTER_LINE), "")
 
 
 def paragraphs(text: Column) -> Column:

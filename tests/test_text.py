@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from fathomline.functions.text import tokenize
+from fathomline.functions.text import lines_with_ends, tokenize
 from fathomline.operators import chunking
 
 LONG = "x" * 50
@@ -83,3 +83,11 @@ def test_titles_are_stripped(spark):
 def test_label(spark):
     docs = spark.createDataFrame([("d.md", LONG)], "doc string, text string")
     assert chunking.with_label(chunking.chunk_documents(docs)).first()["label"] == "d.md · d.md · 简介"
+
+
+def test_lines_are_split_at_their_ends(spark):
+    text = "a\n\nb\r\nc\r\r\nd\x0b\u2028e\x85f"
+    lines = lines_with_ends(F.col("t")).alias("lines")
+    rows = spark.createDataFrame([(text,), ("",), ("x\n",), (None,)], "t string").select(lines).collect()
+    assert [r["lines"] for r in rows] == [["a\n", "\n", "b\r\n", "c\r", "\r\n", "d\x0b", "\u2028", "e\x85", "f"], [], ["x\n"], None]
+    assert "regexp_extract_all" not in str(lines)  # which tried each character of a line against all ends
