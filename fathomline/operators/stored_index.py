@@ -20,6 +20,7 @@ from fathomline.session import collect_bounded
 
 BUCKETS = 64
 MAX_SEGMENTS = 10_000
+CHUNKS_OF_PART = 4096
 _TOTALS = "segment string, n_chunks long, total_length long"
 
 
@@ -74,6 +75,7 @@ class StoredIndex:
     path: str
     folders: tuple[str, ...]
     totals: DataFrame
+    parts: int
 
     @property
     def chunks(self) -> DataFrame:
@@ -97,6 +99,11 @@ class StoredIndex:
     def relevant(self, terms: DataFrame) -> DataFrame:
         return self._of_terms("postings", terms)
 
+    def packed(self, terms: DataFrame) -> DataFrame:
+        """As of a `TextIndex`, but a row for each posting of the terms."""
+        return self.relevant(terms).select(*retrieval.CHUNK, "length", F.col("term").alias("words"), F.array("tf").alias("tfs"),
+                                           F.array("section_tf").alias("section_tfs"))
+
     def frequencies(self, terms: DataFrame, relevant: DataFrame) -> DataFrame:
         return self._of_terms("terms", terms).groupBy("term").agg(F.sum("df").alias("df"))
 
@@ -109,4 +116,6 @@ def open_index(spark: SparkSession, path: str) -> StoredIndex:
     first: dict[str, tuple] = {}
     for r in sorted(map(tuple, rows)):  # a batch that two writers added at once counts once
         first.setdefault(r[0].split("|")[0], r)
-    return StoredIndex(spark, path, tuple(r[0].split("|")[1] for r in first.values()), spark.createDataFrame(list(first.values()), _TOTALS))
+    parts = 1 + sum(r[1] for r in first.values()) // CHUNKS_OF_PART
+    return StoredIndex(spark, path, tuple(r[0].split("|")[1] for r in first.values()), spark.createDataFrame(list(first.values()), _TOTALS),
+                       parts)

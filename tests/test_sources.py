@@ -6,6 +6,7 @@ from urllib.parse import urlencode
 
 from pyspark.sql import functions as F
 
+from fathomline import session
 from fathomline.operators import features, quality, rollup
 from fathomline.sources import cities, files, landing
 
@@ -87,3 +88,9 @@ def test_quality_report_names_failures(spark):
     rows = quality.check(df, "t", [quality.row_count(2), quality.not_below("v", 0), quality.only_values("g", ["a", "b"]),
                                    quality.distinct_count("g", 3)]).collect()
     assert [r["passed"] for r in rows] == [True, False, True, False]
+
+
+def test_parts_grow_with_the_splits_of_a_scan(spark):
+    few, many = (spark.range(0, 1000, 1, n).withColumn("key", F.col("id").cast("string")) for n in (1, 40))
+    assert session.parts_of(few) >= 8 and session.parts_of(many) == 320
+    assert session.spread_out(many, "key").rdd.getNumPartitions() == 320
