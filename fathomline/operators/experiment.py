@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from fathomline.functions.hashing import digest
 from fathomline.functions.normal import normal_cdf, quantile, two_sided_p
+from fathomline.session import shuffle_partitions
 
 # Half width of the 95 % interval in standard errors, multiples of the required size.
 Z_95 = 1.96
 POWER_MULTIPLES = (0.25, 0.5, 0.75, 1.0, 1.5, 2.0)
 BITS_PER_DIGEST = 32
+TASKS_A_CORE = 4
 
 
 def conversion_counts(units: DataFrame, by: list[str]) -> DataFrame:
@@ -81,7 +83,10 @@ def replayed_counts(units: DataFrame, replicates: int) -> DataFrame:
     map-side aggregation; replicates become rows only after the sums, so (block, partial counts) is all that is shuffled.
     """
     blocks = (replicates + BITS_PER_DIGEST - 1) // BITS_PER_DIGEST
-    hashed = units.select(F.col("converted").cast("long").alias("converted"), "unit",
+    # Units are few bytes and much work: left alone, a few tasks would hold all of them.
+    context = units.sparkSession.sparkContext
+    dealt = units.repartition(max(shuffle_partitions(units.sparkSession), TASKS_A_CORE * context.defaultParallelism), "unit")
+    hashed = dealt.select(F.col("converted").cast("long").alias("converted"), "unit",
                           F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
     hashed = hashed.select("converted", "block", digest(F.col("block"), F.col("unit")).alias("hex"))
     in_b = [F.substring("hex", bit + 1, 1).isin(*"13579bdf") for bit in range(BITS_PER_DIGEST)]

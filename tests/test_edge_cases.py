@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from fathomline.operators import evaluation, experiment, models, ranktests
@@ -54,3 +56,9 @@ def test_saved_fourier_stage_is_the_same(spark, tmp_path):
     stage.save(str(tmp_path / "stage"))
     again = models.RandomFourierFeatures.load(str(tmp_path / "stage"))
     assert stage.transform(rows).first().out == again.transform(rows).first().out
+
+
+def test_replay_deals_units_over_the_cores(spark):
+    units = spark.createDataFrame([(k, k % 2) for k in range(40)], "unit long, converted int").coalesce(1)
+    plan = experiment.replayed_counts(units, 70)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(unit#", plan) and "REPARTITION_BY_NUM" in plan
