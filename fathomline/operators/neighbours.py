@@ -125,25 +125,33 @@ def nearest_rows(placed: DataFrame, k: int = NEIGHBOURS, tile_rows: int | None =
     placed = cut_lineage(placed)
     scales = placed.sparkSession.sparkContext.broadcast(  # one row per scenario, and those the caller lists
         {r["scenario"]: (np.array(r["means"]), np.array(r["stds"])) for r in scaling(placed).collect()})
+    names = sorted(scales.value)
     block = tile_rows or TILE_ROWS
     parts = math.ceil(math.sqrt(1 + placed.count() // block))
     own, every = F.pmod(F.xxhash64("row_id"), F.lit(parts)), F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+
+    def flags(listed: str):
+        """A byte for each scenario: the lists of names would outweigh the features in the shuffle and in a tile."""
+        return F.array(*[F.array_contains(listed, name) for name in names]).cast("array<boolean>").alias(listed)
+
     tests = placed.filter(F.size("tests") > 0).select(
-        own.alias("test_part"), every.alias("train_part"), "row_id", "label", "features", "tests")
+        own.alias("test_part"), every.alias("train_part"), "row_id", "label", "features", flags("tests"))
     trains = placed.filter(F.size("trains") > 0).select(
-        every.alias("test_part"), own.alias("train_part"), "row_id", "label", "features", "trains")
+        every.alias("test_part"), own.alias("train_part"), "row_id", "label", "features", flags("trains"))
 
     def best_of_tile(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = [pd.DataFrame({"scenario": pd.Series(dtype="str"), "row_id": pd.Series(dtype="int64"),
+        found = [pd.DataFrame({"scenario": pd.Series(dtype="int32"), "row_id": pd.Series(dtype="int64"),
                                "label": pd.Series(dtype="int32"), "train_id": pd.Series(dtype="int64"),
                                "candidate": pd.Series(dtype="int32"), "squared": pd.Series(dtype="float64")})]
         if not len(left) or not len(right):
             return found[0]
         right = right.sort_values("row_id", kind="stable")
         test_values, train_values = _matrix(left["features"]), _matrix(right["features"])
-        for name, (means, stds) in scales.value.items():
-            tested = np.flatnonzero([name in names for names in left["tests"]])
-            trained = np.flatnonzero([name in names for names in right["trains"]])
+        in_test, in_train = np.stack(left["tests"].to_numpy()), np.stack(right["trains"].to_numpy())
+        left, right = left[["row_id", "label"]], right[["row_id", "label"]]
+        for number, name in enumerate(names):
+            means, stds = scales.value[name]
+            tested, trained = np.flatnonzero(in_test[:, number]), np.flatnonzero(in_train[:, number])
             if len(tested) and len(trained):
                 test_at, train_at, squared, compared = _closest(
                     (test_values[tested] - means) / stds, (train_values[trained] - means) / stds, k, block)
@@ -152,16 +160,18 @@ def nearest_rows(placed: DataFrame, k: int = NEIGHBOURS, tile_rows: int | None =
                     count.compared.add(compared)
                 mine, theirs = left.iloc[tested[test_at]], right.iloc[trained[train_at]]
                 found.append(pd.DataFrame({
-                    "scenario": name, "row_id": mine["row_id"].to_numpy(), "label": mine["label"].to_numpy(),
+                    "scenario": np.int32(number), "row_id": mine["row_id"].to_numpy(), "label": mine["label"].to_numpy(),
                     "train_id": theirs["row_id"].to_numpy(), "candidate": theirs["label"].to_numpy(),
                     "squared": squared}))
         return pd.concat(found[1:] or found)
 
     tile = ["test_part", "train_part"]
     best = tests.groupBy(*tile).cogroup(trains.groupBy(*tile)).applyInPandas(
-        best_of_tile, "scenario string, row_id long, label int, train_id long, candidate int, squared double")
+        best_of_tile, "scenario int, row_id long, label int, train_id long, candidate int, squared double")
     closest = Window.partitionBy("scenario", "row_id").orderBy("squared", "train_id")
-    return best.withColumn("place", F.row_number().over(closest)).filter(F.col("place") <= k)
+    nearest = best.withColumn("place", F.row_number().over(closest)).filter(F.col("place") <= k)
+    named = F.get(F.array(*[F.lit(name) for name in names]).cast("array<string>"), F.col("scenario"))
+    return nearest.withColumn("scenario", named)
 
 
 def predict_each(placed: DataFrame, scenario_types: T.StructType, counts: list[int]) -> DataFrame:

@@ -229,6 +229,15 @@ def test_rows_travel_once_for_each_part_of_the_other_side(spark):
     assert count.met.value == 43 * 85 + 64 * 64 and 0 < count.share <= 1
 
 
+def test_tiles_get_a_flag_for_each_scenario(spark):
+    placed = placed_of(spark, [0, 1] * 10, np.arange(40.0).reshape(20, 2))
+    near = neighbours.nearest_rows(placed, 1)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "array_contains(trains#" in plan and "scenario string, row_id" not in plan
+    names = {name for r in placed.collect() for name in r["tests"]}
+    assert {r["scenario"] for r in near.collect()} == names
+
+
 def test_exact_quantiles_of_a_large_group(spark, monkeypatch):
     from fathomline.operators import evaluation, ranks
     monkeypatch.setattr(ranks, "ROWS_PER_RANGE", 10_000)
