@@ -92,5 +92,5 @@ def test_quality_report_names_failures(spark):
 
 def test_parts_grow_with_the_splits_of_a_scan(spark):
     few, many = (spark.range(0, 1000, 1, n).withColumn("key", F.col("id").cast("string")) for n in (1, 40))
-    assert session.parts_of(few) >= 8 and session.parts_of(many) == 320
-    assert session.spread_out(many, "key").rdd.getNumPartitions() == 320
+    assert session.parts_of(few) >= 8 and session.parts_of(many) == 160
+    assert session.spread_out(many, "key").rdd.getNumPartitions() == 160
