@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.operators import scenarios
-from fathomline.session import cut_lineage
+from fathomline.session import cut_lineage, over_cores
 
 #: An optimiser ends when a step lowers its loss by less than this share, or after so many evaluations.
 TOLERANCE, EVALUATIONS = 1e-7, 300
@@ -98,7 +98,7 @@ def matrix(placed: DataFrame) -> Matrix:
                  pa.array([v.tobytes() for v in scenarios.roles_of(batch, names)], pa.binary()),
                  pa.array([at[v] for v in batch.column("label").to_pylist()], pa.int32())], ["row_id", "x", "roles", "y"])
 
-    rows = cut_lineage(placed.mapInArrow(encoded, "row_id long, x binary, roles binary, y int").hint("rebalance"))
+    rows = cut_lineage(over_cores(placed).mapInArrow(encoded, "row_id long, x binary, roles binary, y int"))
     partitions = rows.rdd.getNumPartitions()
     context = rows.sparkSession.sparkContext
 
@@ -352,19 +352,21 @@ def kernel_predictions(placed: DataFrame, count: int = LANDMARKS, cost: float =
     m = len(points)
 
     def votes(x: np.ndarray, s: int, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        # Weights are whitened instead of the rows: m x pairs products a row, not m x m.
         own, whiten = shared_maps.value[s]
-        z = kernel((x - means[s]) / stds[s], own) @ whiten
+        k = kernel((x - means[s]) / stds[s], own)
         w = w.reshape(m + 1, len(pairs))
-        return z, z @ w[:-1] + w[-1]
+        return k, k @ (whiten @ w[:-1]) + w[-1]
 
     def losses(block: Block, asked: dict[int, np.ndarray]) -> Generator:
         for s, w in asked.items():
             own = block.roles[:, s] == 1
-            z, f = votes(block.x[own], s, w)
+            k, f = votes(block.x[own], s, w)
             t = sign[block.y[own]]
             short = np.maximum(1 - t * f, 0) * (t != 0)
             d = -2 * cost * short * t
-            yield s, np.concatenate([[cost * (short ** 2).sum()], (z.T @ d).ravel(), d.sum(axis=0)])
+            slope = shared_maps.value[s][1].T @ (k.T @ d)
+            yield s, np.concatenate([[cost * (short ** 2).sum()], slope.ravel(), d.sum(axis=0)])
 
     def penalty(s: int, w: np.ndarray) -> tuple[float, np.ndarray]:
         held = w.copy()

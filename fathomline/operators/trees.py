@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.operators import scenarios
-from fathomline.session import cut_lineage, shuffle_partitions
+from fathomline.session import cut_lineage, over_cores, shuffle_partitions
 
 BINS = 255
 #: A node with at most so many rows is finished in one task.
@@ -93,8 +93,7 @@ def matrix(placed: DataFrame, numeric: bool = False, bins: int = BINS) -> Matrix
                  pa.array([v.tobytes() for v in roles], pa.binary()),
                  pa.array(y if numeric else [at[v] for v in y], pa.float64())], ["row_id", "x", "roles", "y"])
 
-    rows = cut_lineage(placed.mapInArrow(
-        encoded, "row_id long, x binary, roles binary, y double").hint("rebalance"))
+    rows = cut_lineage(over_cores(placed).mapInArrow(encoded, "row_id long, x binary, roles binary, y double"))
     width = max(1, len(labels))
 
     def counted(batches):
