@@ -1,8 +1,9 @@
 """Linear and kernel classifiers of many scenarios fitted together.
 
-Every scenario has its own optimiser on the driver; each says at which weights it wants its loss and gradient next, and
-one Spark job answers all of them with a single pass over the rows. The number of jobs is that of the slowest scenario,
-whatever their number, and the driver holds weights and gradients only.
+Where the rows of a scenario fit a task, its optimiser runs there. In a larger table every scenario has its optimiser on the
+driver; each says at which weights it wants its loss and gradient next, and one Spark job answers all of them with a single
+pass over the rows. The number of jobs is that of the slowest scenario, whatever their number, and the driver holds weights
+and gradients only.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.operators import scenarios
+from fathomline.operators import scenarios, whole
 from fathomline.session import cut_lineage, over_cores
 
 #: An optimiser ends when a step lowers its loss by less than this share, or after so many evaluations.
@@ -28,6 +29,8 @@ MEMORY = 10
 LANDMARKS, NO_EIGENVALUE = 256, 1e-10
 #: With more partitions than this, partial sums are added by Spark before they reach the driver.
 PARTIALS = 16
+#: Rows that an optimiser in a task takes at once, and bytes of what it makes of them that it keeps between its steps.
+ROWS_AT_ONCE, KEPT_BYTES = 8192, 1 << 27
 SEED = 42
 
 
@@ -43,6 +46,8 @@ class Matrix:
     #: Population deviations; 1 for constant features.
     stds: np.ndarray
     partitions: int
+    #: Rows that a scenario trains or tests at most.
+    most: int
 
 
 @dataclass
@@ -105,19 +110,20 @@ def matrix(placed: DataFrame) -> Matrix:
     def sums(block: Block, _) -> Generator:
         for s in range(len(names)):
             x = block.x[block.roles[:, s] == 1]
-            yield s, np.concatenate([[len(x)], x.sum(axis=0)])
+            yield s, np.concatenate([[(block.roles[:, s] > 0).sum(), len(x)], x.sum(axis=0)])
 
     def squares(block: Block, means) -> Generator:
         for s in range(len(names)):
             yield s, ((block.x[block.roles[:, s] == 1] - means[s]) ** 2).sum(axis=0)
 
     first = _summed(rows, partitions, context.broadcast(None), sums)
-    first = np.stack([first[s] for s in range(len(names))]) if first else np.zeros((0, 1))
+    first = np.stack([first[s] for s in range(len(names))]) if first else np.zeros((0, 2))
+    most, first = int(first[:, 0].max(initial=0)), first[:, 1:]
     trained = np.maximum(first[:, :1], 1)
     means = first[:, 1:] / trained
     second = _summed(rows, partitions, context.broadcast(means), squares)
     stds = np.sqrt(np.stack([second[s] for s in range(len(names))]) / trained) if second else np.zeros((0, 0))
-    return Matrix(rows, names, labels, first[:, 0], means, np.where(stds > 0, stds, 1.0), partitions)
+    return Matrix(rows, names, labels, first[:, 0], means, np.where(stds > 0, stds, 1.0), partitions, most)
 
 
 def minimiser(start: np.ndarray) -> Generator[np.ndarray, tuple[float, np.ndarray], np.ndarray]:
@@ -180,6 +186,61 @@ def minimise_together(data: Matrix, length: int, losses, penalty) -> list[np.nda
     return best
 
 
+def fitted_predictions(data: Matrix, length: int, prepare, losses, penalty, predict) -> DataFrame:
+    """scenario, row_id, label, prediction of all test rows by the best weights of every scenario.
+
+    `prepare(x, scenario)` makes what the weights meet: `losses(made, y, weights, scenario)` gives [loss, gradient] of train rows,
+    `predict(made, weights, scenario)` places of labels. `penalty(scenario, weights)` gives a loss and gradient that don't depend on rows.
+    """
+    if whole.fits(data.most, 4 * (8 * data.means.shape[1] + 21)):
+        return _fitted_in_tasks(data, length, prepare, losses, penalty, predict)
+
+    def of_block(block: Block, points: dict[int, np.ndarray]) -> Generator:
+        for s, w in points.items():
+            own = block.roles[:, s] == 1
+            yield s, losses(prepare(block.x[own], s), block.y[own], w, s)
+
+    best = minimise_together(data, length, of_block, penalty)
+    shared = data.rows.sparkSession.sparkContext.broadcast(best)
+    return _predictions(data, shared, lambda x, s, weights: predict(prepare(x, s), weights[s], s))
+
+
+def _fitted_in_tasks(data: Matrix, length: int, prepare, losses, penalty, predict) -> DataFrame:
+    def fit(group: tuple, row_id: np.ndarray, x: np.ndarray, role: np.ndarray, y: np.ndarray) -> Generator:
+        s, kept, blocks = group[0], 0, []
+        train, test = np.flatnonzero(role == 1), np.flatnonzero(role == 2)
+        for low in range(0, len(train), ROWS_AT_ONCE):
+            own = train[low:low + ROWS_AT_ONCE]
+            made = prepare(x[own], s) if kept < KEPT_BYTES else None
+            kept += 0 if made is None else made.nbytes
+            blocks.append((own, made))
+        solver = minimiser(np.zeros(length))
+        w = next(solver)
+        try:
+            while True:
+                loss, slope = penalty(s, w)
+                total = np.zeros(1 + length)
+                for own, made in blocks:
+                    total += losses(prepare(x[own], s) if made is None else made, y[own], w, s)
+                w = solver.send((loss + total[0], slope + total[1:]))
+        except StopIteration as done:
+            w = done.value
+        for low in range(0, len(test), ROWS_AT_ONCE):
+            own = test[low:low + ROWS_AT_ONCE]
+            columns = (np.full(len(own), s), row_id[own], y[own], predict(prepare(x[own], s), w, s))
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(k)) for c, k in zip(columns, ("i4", "i8", "i4", "i4"))],
+                                             ["scenario", "row_id", "y", "p"])
+
+    groups = sorted(((s,) for s in range(len(data.scenarios))), key=lambda g: -data.trained[g[0]])
+    return _named(data, cut_lineage(whole.in_tasks(data.rows, groups, "<f8", fit, "scenario int, row_id long, y int, p int")))
+
+
+def _named(data: Matrix, predicted: DataFrame) -> DataFrame:
+    names, labels = (F.array(*[F.lit(v) for v in values]) for values in (data.scenarios, data.labels))
+    return predicted.select(F.get(names, "scenario").alias("scenario"), "row_id", F.get(labels, "y").alias("label"),
+                            F.get(labels, "p").alias("prediction"))
+
+
 def _predictions(data: Matrix, shared, predict) -> DataFrame:
     """scenario, row_id, label, prediction of all test rows; `predict(x, scenario, value)` gives places of labels."""
     count = len(data.scenarios)
@@ -195,9 +256,7 @@ def _predictions(data: Matrix, shared, predict) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c.astype(k)) for c, k in zip(columns, ("i4", "i8", "i4", "i4"))],
                                              ["scenario", "row_id", "y", "p"])
 
-    names, labels = (F.array(*[F.lit(v) for v in values]) for values in (data.scenarios, data.labels))
-    return data.rows.mapInArrow(predicted, "scenario int, row_id long, y int, p int").select(
-        F.get(names, "scenario").alias("scenario"), "row_id", F.get(labels, "y").alias("label"), F.get(labels, "p").alias("prediction"))
+    return _named(data, data.rows.mapInArrow(predicted, "scenario int, row_id long, y int, p int"))
 
 
 def logistic_predictions(placed: DataFrame) -> DataFrame:
@@ -206,31 +265,28 @@ def logistic_predictions(placed: DataFrame) -> DataFrame:
     classes, width = len(data.labels), data.means.shape[1]
     means, stds = data.means, data.stds
 
-    def scores(x: np.ndarray, s: int, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        z = (x - means[s]) / stds[s]
+    def prepare(x: np.ndarray, s: int) -> np.ndarray:
+        return (x - means[s]) / stds[s]
+
+    def scores(z: np.ndarray, w: np.ndarray) -> np.ndarray:
         w = w.reshape(width + 1, classes)
-        return z, z @ w[:-1] + w[-1]
+        return z @ w[:-1] + w[-1]
 
-    def losses(block: Block, points: dict[int, np.ndarray]) -> Generator:
-        for s, w in points.items():
-            own = block.roles[:, s] == 1
-            z, f = scores(block.x[own], s, w)
-            y = block.y[own]
-            f = f - f.max(axis=1, keepdims=True)
-            e = np.exp(f)
-            total = e.sum(axis=1, keepdims=True)
-            d = e / total
-            d[np.arange(len(y)), y] -= 1
-            yield s, np.concatenate([[(np.log(total[:, 0]) - f[np.arange(len(y)), y]).sum()], (z.T @ d).ravel(), d.sum(axis=0)])
+    def losses(z: np.ndarray, y: np.ndarray, w: np.ndarray, s: int) -> np.ndarray:
+        f = scores(z, w)
+        f = f - f.max(axis=1, keepdims=True)
+        e = np.exp(f)
+        total = e.sum(axis=1, keepdims=True)
+        d = e / total
+        d[np.arange(len(y)), y] -= 1
+        return np.concatenate([[(np.log(total[:, 0]) - f[np.arange(len(y)), y]).sum()], (z.T @ d).ravel(), d.sum(axis=0)])
 
     def penalty(s: int, w: np.ndarray) -> tuple[float, np.ndarray]:
         held = w.copy()
         held[width * classes:] = 0
         return 0.5 * float(held @ held), held
 
-    best = minimise_together(data, (width + 1) * classes, losses, penalty)
-    shared = data.rows.sparkSession.sparkContext.broadcast(best)
-    return _predictions(data, shared, lambda x, s, weights: scores(x, s, weights[s])[1].argmax(axis=1))
+    return fitted_predictions(data, (width + 1) * classes, prepare, losses, penalty, lambda z, w, s: scores(z, w).argmax(axis=1))
 
 
 def least_squares_predictions(placed: DataFrame) -> DataFrame:
@@ -351,37 +407,35 @@ def kernel_predictions(placed: DataFrame, count: int = LANDMARKS, cost: float =
     shared_maps = context.broadcast(maps)
     m = len(points)
 
-    def votes(x: np.ndarray, s: int, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def prepare(x: np.ndarray, s: int) -> np.ndarray:
+        return kernel((x - means[s]) / stds[s], shared_maps.value[s][0])
+
+    def whitened(w: np.ndarray, s: int) -> np.ndarray:
         # Weights are whitened instead of the rows: m x pairs products a row, not m x m.
-        own, whiten = shared_maps.value[s]
-        k = kernel((x - means[s]) / stds[s], own)
         w = w.reshape(m + 1, len(pairs))
-        return k, k @ (whiten @ w[:-1]) + w[-1]
+        return np.concatenate([shared_maps.value[s][1] @ w[:-1], w[-1:]])
 
-    def losses(block: Block, asked: dict[int, np.ndarray]) -> Generator:
-        for s, w in asked.items():
-            own = block.roles[:, s] == 1
-            k, f = votes(block.x[own], s, w)
-            t = sign[block.y[own]]
-            short = np.maximum(1 - t * f, 0) * (t != 0)
-            d = -2 * cost * short * t
-            slope = shared_maps.value[s][1].T @ (k.T @ d)
-            yield s, np.concatenate([[cost * (short ** 2).sum()], slope.ravel(), d.sum(axis=0)])
+    def losses(k: np.ndarray, y: np.ndarray, w: np.ndarray, s: int) -> np.ndarray:
+        w = whitened(w, s)
+        f = k @ w[:-1] + w[-1]
+        t = sign[y]
+        short = np.maximum(1 - t * f, 0) * (t != 0)
+        d = -2 * cost * short * t
+        slope = shared_maps.value[s][1].T @ (k.T @ d)
+        return np.concatenate([[cost * (short ** 2).sum()], slope.ravel(), d.sum(axis=0)])
 
     def penalty(s: int, w: np.ndarray) -> tuple[float, np.ndarray]:
         held = w.copy()
         held[m * len(pairs):] = 0
         return 0.5 * float(held @ held), held
 
-    best = minimise_together(data, (m + 1) * len(pairs), losses, penalty)
-    shared = context.broadcast(best)
-
-    def predict(x: np.ndarray, s: int, weights: list[np.ndarray]) -> np.ndarray:
-        f = votes(x, s, weights[s])[1]
-        counted = np.zeros((len(x), max(1, classes)))
-        for k, (a, b) in enumerate(pairs):
-            counted[:, a] += f[:, k] > 0
-            counted[:, b] += f[:, k] <= 0
+    def predict(k: np.ndarray, w: np.ndarray, s: int) -> np.ndarray:
+        w = whitened(w, s)
+        f = k @ w[:-1] + w[-1]
+        counted = np.zeros((len(k), max(1, classes)))
+        for at, (a, b) in enumerate(pairs):
+            counted[:, a] += f[:, at] > 0
+            counted[:, b] += f[:, at] <= 0
         return counted.argmax(axis=1)
 
-    return _predictions(data, shared, predict)
+    return fitted_predictions(data, (m + 1) * len(pairs), prepare, losses, penalty, predict)

@@ -5,6 +5,9 @@ A node with many rows is split from histograms: every task adds up its rows by (
 them by unit, and only the chosen splits reach the driver. A node with few rows is finished in one task, as its rows fit
 there (Panda, Herbach, Basu and Bayardo: PLANET, 2009). Both find the same splits. Trees with a budget of leaves grow
 best first: the split with the largest gain is taken next, and only nodes that this order can reach are looked at.
+
+Where the rows of a scenario fit a task, its trees are grown and used there, and only predictions leave it. Forests of larger
+tables are grown a few trees at a time, whose votes are added to the rows, so that the driver never holds a forest.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.operators import scenarios
+from fathomline.operators import scenarios, whole
 from fathomline.session import cut_lineage, over_cores, shuffle_partitions
 
 BINS = 255
@@ -29,6 +32,10 @@ SMALL_ROWS = 20_000
 HISTOGRAM_BYTES = 1 << 28
 #: Rounds of boosting after which the scores of all rows are written, so that tasks apply few trees.
 ROUNDS_KEPT = 10
+#: Nodes of a forest that the driver may hold, and times as many trees of them as before that it takes on at most.
+NODES_HELD, FASTER = 200_000, 8
+#: Groups of trees for each core, nodes of a level split at once, and test rows of a block of votes.
+GROUPS_A_CORE, NODES_AT_ONCE, ROWS_A_BLOCK = 4, 256, 20_000
 _LEAF = -1
 
 
@@ -60,6 +67,8 @@ class Matrix:
     #: Train rows and the sum of their targets (by label, or of the numbers) for each scenario.
     trained: np.ndarray
     totals: np.ndarray
+    #: Rows that a scenario trains or tests at most.
+    most: int
 
 
 def bin_edges(rows: DataFrame, bins: int = BINS) -> list[np.ndarray]:
@@ -97,18 +106,19 @@ def matrix(placed: DataFrame, numeric: bool = False, bins: int = BINS) -> Matrix
     width = max(1, len(labels))
 
     def counted(batches):
-        total = np.zeros((len(names), 1 + width))
+        total = np.zeros((len(names), 2 + width))
         for batch in batches:
             block = Block.of(batch)
             train = (block.roles == 1).astype(float)
-            total[:, 0] += train.sum(axis=0)
-            total[:, 1:] += train.T @ (np.eye(width)[block.y.astype(int)] if labels else block.y[:, None])
+            total[:, 0] += (block.roles > 0).sum(axis=0)
+            total[:, 1] += train.sum(axis=0)
+            total[:, 2:] += train.T @ (np.eye(width)[block.y.astype(int)] if labels else block.y[:, None])
         yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()], pa.list_(pa.float64()))], ["t"])
 
     sums = rows.mapInArrow(counted, "t array<double>").select(F.posexplode("t").alias("at", "t")).groupBy("at").agg(
         F.sum("t").alias("t")).orderBy("at").collect()
-    total = np.array([r["t"] for r in sums]).reshape(len(names), 1 + width) if sums else np.zeros((len(names), 1 + width))
-    return Matrix(rows, names, labels, len(edges), total[:, 0], total[:, 1:])
+    total = np.array([r["t"] for r in sums]).reshape(len(names), 2 + width) if sums else np.zeros((len(names), 2 + width))
+    return Matrix(rows, names, labels, len(edges), total[:, 1], total[:, 2:], int(total[:, 0].max(initial=0)))
 
 
 @dataclass
@@ -122,12 +132,12 @@ class Block:
     scores: np.ndarray | None
 
     @classmethod
-    def of(cls, batch: pa.RecordBatch) -> Block:
+    def of(cls, batch: pa.RecordBatch, scores: str = "<f4") -> Block:
         def bytes_of(name: str, kind: str) -> np.ndarray:
             return np.frombuffer(b"".join(batch.column(name).to_pylist()), kind).reshape(batch.num_rows, -1) if batch.num_rows \
                 else np.zeros((0, 1), kind)
         return cls(batch.column("row_id").to_numpy(), bytes_of("x", "u1"), bytes_of("roles", "u1"),
-                   batch.column("y").to_numpy(), bytes_of("scores", "<f4") if "scores" in batch.schema.names else None)
+                   batch.column("y").to_numpy(), bytes_of("scores", scores) if "scores" in batch.schema.names else None)
 
 
 # ---------------------------------------------------------------- one tree
@@ -329,6 +339,22 @@ def splits_by_sorting(x: np.ndarray, stats: np.ndarray, node: np.ndarray, drawn:
     return found
 
 
+def splits_by_counting(x: np.ndarray, stats: np.ndarray, node: np.ndarray, drawn: np.ndarray, scored: int, least: float) -> list:
+    """`splits_by_sorting` from histograms: for nodes with many rows. Only what enters the gain is counted for every bin."""
+    count, width = drawn.shape
+    sums, base, every = np.zeros((count, width, 256, 1 + scored)), node << 8, np.arange(len(x))
+    alike, whole_rows = (drawn == drawn[0]).all(), (stats[:, 0] == 1).all()
+    for j in range(width):
+        key = base | (x[:, drawn[0, j]] if alike else x[every, drawn[node, j]])
+        for k in range(1 + scored):
+            sums[:, j, :, k] = np.bincount(key, None if whole_rows and not k else stats[:, k], count << 8).reshape(count, 256)
+    found = splits_of_histograms(sums, drawn, scored, least)
+    cuts = np.array([split[1:3] if split else (0, -1) for split in found], np.int64)
+    side = 2 * node + (x[every, cuts[node, 0]] > cuts[node, 1])
+    sides = np.stack([np.bincount(side, column, 2 * count) for column in stats.T], axis=1)
+    return [split and (*split[:3], sides[2 * k], sides[2 * k + 1]) for k, split in enumerate(found)]
+
+
 def splits_of_histograms(sums: np.ndarray, drawn: np.ndarray, scored: int, least: float) -> list:
     """Best split of every node from sums by (node, drawn feature, bin, statistic)."""
     left = np.cumsum(sums, axis=2)
@@ -353,7 +379,9 @@ def grow_here(x: np.ndarray, stats: np.ndarray, growth: Growth, unit: int, score
         place[wanted] = np.arange(len(wanted))
         rows = np.flatnonzero(place[at] >= 0)
         drawn = drawn_features(growth, unit, [sketch.path[k] for k in wanted], x.shape[1])
-        for node, split in zip(wanted, splits_by_sorting(x[rows], stats[rows], place[at[rows]], drawn, scored, growth.least)):
+        splits = splits_by_counting if len(wanted) << 8 <= len(rows) else splits_by_sorting
+        own = slice(None) if len(rows) == len(x) else rows
+        for node, split in zip(wanted, splits(x[own], stats[own], place[at[rows]], drawn, scored, growth.least)):
             sketch.tell(node, split)
         feature, cut, left, right = sketch.routes()
         node = at[rows]
@@ -362,6 +390,125 @@ def grow_here(x: np.ndarray, stats: np.ndarray, growth: Growth, unit: int, score
     return sketch
 
 
+# ---------------------------------------------------------------- a tree of labels, level by level
+
+
+def _gains_of_squares(left: np.ndarray, left_squares: np.ndarray, right_squares: np.ndarray, total: np.ndarray, squares: np.ndarray,
+                      least: float) -> np.ndarray:
+    """`_gains` from weights and the sums of the squared weights of the labels."""
+    right = total - left
+    gain = left_squares / np.maximum(left, 1e-300) + right_squares / np.maximum(right, 1e-300) - squares / np.maximum(total, 1e-300)
+    return np.where((left >= least) & (right >= least) & (gain > 1e-9 * np.maximum(1.0, total)), gain, 0.0).astype(np.float32)
+
+
+def _level_by_counting(bins: np.ndarray, y: np.ndarray, weight: np.ndarray, node: np.ndarray, drawn: np.ndarray, totals: np.ndarray,
+                       least: float) -> tuple[np.ndarray, ...]:
+    """By node: whether a cut raises the gain, the feature, the cut. `bins` are those of the features drawn for the node, by row."""
+    (count, width), classes = drawn.shape, totals.shape[1]
+    sums, base = np.empty((count, width, 256, classes)), (node << 8) * classes + y
+    for j in range(width):
+        key = base + bins[:, j].astype(np.int64) * classes
+        sums[:, j] = np.bincount(key, weight, (count << 8) * classes).reshape(count, 256, classes)
+    left, of_node = np.cumsum(sums, axis=2), np.arange(count)
+    total, squares = totals.sum(axis=1)[:, None, None], (totals ** 2).sum(axis=1)[:, None, None]
+    gain = _gains_of_squares(left.sum(axis=-1), (left ** 2).sum(axis=-1), ((totals[:, None, None, :] - left) ** 2).sum(axis=-1), total, squares, least)
+    # A cut behind an empty bin is the one before it.
+    gain = np.where(sums.any(axis=-1), gain, np.float32(0)).reshape(count, -1)
+    at = gain.argmax(axis=1)
+    return gain[of_node, at] > 0, drawn[of_node, at >> 8], at & 255
+
+
+def _level_by_sorting(bins: np.ndarray, y: np.ndarray, weight: np.ndarray, node: np.ndarray, drawn: np.ndarray, totals: np.ndarray,
+                      least: float) -> tuple[np.ndarray, ...]:
+    """`_level_by_counting` for nodes with few rows; rows come in order of their node, of which there are 256 at most.
+
+    Each drawn feature is a row of rows in order of node and bin. A row of weight w and label k raises the sum of squares on
+    the left by w (2 L_k + w), where L_k is the weight of the label so far: no sums are kept for every label and cut.
+    """
+    (count, width), classes = drawn.shape, totals.shape[1]
+    key = (node.astype(np.uint16) << np.uint16(8))[None, :] | bins.T
+    order = np.argsort(key, axis=1, kind="stable")
+    key, y, weight = np.take_along_axis(key, order, axis=1), y[order], weight[order]
+    starts, of_node = np.searchsorted(node, np.arange(count)), np.arange(count)
+    total, squares = totals.sum(axis=1)[node], (totals ** 2).sum(axis=1)[node]
+
+    def running(values: np.ndarray) -> np.ndarray:
+        run = np.cumsum(values, axis=1)
+        return run - np.where(starts > 0, run[:, starts - 1], 0.0)[:, node]
+
+    if classes <= 3:
+        left_squares = right_squares = np.zeros(key.shape)
+        for k in range(classes):
+            left = running(np.where(y == k, weight, 0.0))
+            left_squares, right_squares = left_squares + left ** 2, right_squares + (totals[node, k] - left) ** 2
+    else:
+        label = (node * classes)[None, :] + y
+        by = np.argsort(label.astype(np.uint16) if totals.size <= 1 << 16 else label, axis=1, kind="stable")
+        so_far = np.empty(key.shape)
+        np.put_along_axis(so_far, by, np.cumsum(np.take_along_axis(weight, by, axis=1), axis=1), axis=1)
+        so_far -= (np.cumsum(totals.ravel()) - totals.ravel())[label]
+        left_squares = running(weight * (2 * so_far - weight))
+        right_squares = squares - 2 * running(weight * totals.ravel()[label]) + left_squares
+    gain = _gains_of_squares(running(weight), left_squares, right_squares, total, squares, least)
+    gain[:, :-1][key[:, 1:] == key[:, :-1]] = 0
+    gain[:, np.append(starts[1:], len(node)) - 1] = 0
+    best = np.maximum.reduceat(gain, starts, axis=1)
+    j = best.argmax(axis=0)
+    best = best[j, of_node]
+    hit = np.flatnonzero(gain[j[node], np.arange(len(node))] == best[node])
+    first = hit[np.searchsorted(node[hit], of_node)]
+    return best > 0, drawn[of_node, j], key[j, first] & 255
+
+
+def grow_labels(x: np.ndarray, y: np.ndarray, weight: np.ndarray, classes: int, growth: Growth, unit: int) -> Tree:
+    """The tree of `grow_here` from rows with places of labels and whole weights, without a budget of leaves: all nodes of a level
+    at once, and arrays instead of lists. Leaves have the share of each label.
+    """
+    rows, node, flat, wide = np.arange(len(y)), np.zeros(len(y), np.int64), np.ascontiguousarray(x).ravel(), x.shape[1]
+    totals, paths, count, depth, levels = np.bincount(y, weight, classes)[None, :], np.ones(1, np.int64), 1, 0, []
+    while True:
+        levels.append((np.full(len(totals), _LEAF, np.int32), np.zeros(len(totals), np.uint8), np.zeros(len(totals), np.int32), totals))
+        # A node with a single label has nothing to gain.
+        looked = np.flatnonzero((totals.sum(axis=1) >= 2 * growth.least) & ((totals > 0).sum(axis=1) > 1) & (depth < growth.depth))
+        if not len(looked):
+            break
+        if len(looked) < len(totals):
+            place = np.full(len(totals), -1)
+            place[looked] = np.arange(len(looked))
+            node = place[node]
+            kept = np.flatnonzero(node >= 0)
+            rows, node = rows[kept], node[kept]
+        paths, totals, many = paths[looked], totals[looked], len(looked)
+        drawn = drawn_features(growth, unit, paths, wide)
+        if many * 256 * classes <= 2 * len(rows) and many <= NODES_AT_ONCE:
+            split, feature, cut = _level_by_counting(flat.take((rows * wide)[:, None] + drawn[node]), y[rows], weight[rows], node, drawn, totals, growth.least)
+        else:
+            order = np.argsort(node.astype(np.uint16) if many <= 1 << 16 else node, kind="stable")
+            rows, node = rows[order], node[order]
+            split, feature, cut = np.zeros(many, bool), np.zeros(many, np.int64), np.zeros(many, np.int64)
+            for low in range(0, many, NODES_AT_ONCE):
+                own = slice(low, min(many, low + NODES_AT_ONCE))
+                begin, end = np.searchsorted(node, [own.start, own.stop])
+                here, at = rows[begin:end], node[begin:end]
+                by = _level_by_counting if (own.stop - own.start) * 256 * classes <= 2 * len(here) else _level_by_sorting
+                split[own], feature[own], cut[own] = by(flat.take((here * wide)[:, None] + drawn[at]), y[here], weight[here], at - low,
+                                                        drawn[own], totals[own], growth.least)
+        if not split.any():
+            break
+        at, new = looked[split], 2 * int(split.sum())
+        for values, found in zip(levels[-1], (feature[split], cut[split], count + 2 * np.arange(len(at)))):
+            values[at] = found
+        if len(at) < many:
+            kept = np.flatnonzero(split[node])
+            rows, node = rows[kept], node[kept]
+        node = 2 * (np.cumsum(split) - 1)[node] + (flat.take(rows * wide + feature[node]) > cut[node])
+        totals = np.bincount(node * classes + y[rows], weight[rows], new * classes).reshape(new, classes)
+        paths, count, depth = (2 * paths[split][:, None] + np.arange(2)).ravel(), count + new, depth + 1
+    feature, cut, left, totals = (np.concatenate(v) for v in zip(*levels))
+    return Tree(feature, cut, left, np.where(feature != _LEAF, left + 1, 0).astype(np.int32),
+                (totals / np.maximum(totals.sum(axis=1, keepdims=True), 1e-300)).astype(np.float32))
+
+
 # ---------------------------------------------------------------- trees of many scenarios
 
 
@@ -371,6 +518,9 @@ class Job:
     scored: int
     units: list[int]
 
+    def scenario(self, unit: int) -> int:
+        raise NotImplementedError
+
     def of_block(self, block: Block, units: Iterable[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Unit, rows of the block, and their weight and targets (float32)."""
         raise NotImplementedError
@@ -393,12 +543,18 @@ class Bootstraps(Job):
         self.scored = max(1, self.classes)
         self.units = list(range(self.scenarios * self.trees))
 
-    def of_block(self, block, units):
+    def scenario(self, unit):
+        return unit // self.trees
+
+    def weights(self, unit: int, row_id: np.ndarray) -> np.ndarray:
         chances = np.cumsum(np.exp(-1.0) / np.cumprod(np.concatenate([[1], np.arange(1, 12)])))
+        drawn = _mixed(self.seed, unit, row_id) >> np.uint64(11)
+        return np.searchsorted(chances, drawn.astype(float) / (1 << 53), "right")
+
+    def of_block(self, block, units):
         for unit in units:
-            rows = np.flatnonzero(block.roles[:, unit // self.trees] == 1)
-            drawn = _mixed(self.seed, unit, block.row_id[rows]) >> np.uint64(11)
-            weight = np.searchsorted(chances, drawn.astype(float) / (1 << 53), "right")
+            rows = np.flatnonzero(block.roles[:, self.scenario(unit)] == 1)
+            weight = self.weights(unit, block.row_id[rows])
             rows, weight = rows[weight > 0], weight[weight > 0]
             yield unit, rows, np.stack([weight, block.y[rows]], axis=1).astype(np.float32)
 
@@ -423,6 +579,9 @@ class Residuals(Job):
         self.scored, self.wide = 1, 1 if self.classes <= 2 else self.classes
         self.units = list(range(self.scenarios * self.wide))
 
+    def scenario(self, unit):
+        return unit // self.wide
+
     def advanced(self, block: Block) -> np.ndarray:
         """Scores by (row, scenario, class) with the trees since."""
         scores = block.scores.reshape(len(block.y), self.scenarios, self.wide).copy()
@@ -433,18 +592,24 @@ class Residuals(Job):
                 scores[rows, s, k] += np.float32(self.rate) * tree.values(block.x[rows])[:, 0]
         return scores
 
-    def of_block(self, block, units):
-        scores = self.advanced(block).astype(float)
+    def missing(self, scores: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What scores by (row, scenario, class) miss, and the curvature of the loss there."""
+        scores = scores.astype(float)
         if self.classes == 0:
-            missed, curved = block.y[:, None, None] - scores, np.ones_like(scores)
+            return y[:, None, None] - scores, np.ones_like(scores)
+        if self.wide == 1:
+            p, y = 0.5 + 0.5 * np.tanh(0.5 * scores), y[:, None, None]
         else:
-            if self.wide == 1:
-                p, y = 0.5 + 0.5 * np.tanh(0.5 * scores), block.y[:, None, None]
-            else:
-                p = np.exp(scores - scores.max(axis=2, keepdims=True))
-                p /= p.sum(axis=2, keepdims=True)
-                y = np.eye(self.classes)[block.y.astype(int)][:, None, :]
-            missed, curved = y - p, p * (1 - p)
+            p = np.exp(scores - scores.max(axis=2, keepdims=True))
+            p /= p.sum(axis=2, keepdims=True)
+            y = np.eye(self.classes)[y.astype(int)][:, None, :]
+        return y - p, p * (1 - p)
+
+    def likely(self, scores: np.ndarray) -> np.ndarray:
+        return scores[:, 0] if not self.classes else scores[:, 0] > 0 if self.wide == 1 and self.classes == 2 else scores.argmax(axis=1)
+
+    def of_block(self, block, units):
+        missed, curved = self.missing(self.advanced(block), block.y)
         for unit in units:
             s, k = divmod(unit, self.wide)
             rows = np.flatnonzero(block.roles[:, s] == 1)
@@ -544,14 +709,13 @@ def grow(data: Matrix, rows: DataFrame, job: Job, growth: Growth, small_rows: in
     """The trees of all units of a job, split by split together."""
     small_rows = SMALL_ROWS if small_rows is None else small_rows
     sketches = {unit: Sketch() for unit in job.units}
-    per_scenario = len(job.units) // max(1, len(data.scenarios))
     statistics = 1 + job.scored + isinstance(job, Residuals)
     while True:
         small: dict[int, list[int]] = {}
         large: dict[int, list[int]] = {}
         for unit, sketch in sketches.items():
             for node in sketch.plan(growth)[1]:
-                n = data.trained[unit // per_scenario] if sketch.sums[node] is None else sketch.sums[node][0]
+                n = data.trained[job.scenario(unit)] if sketch.sums[node] is None else sketch.sums[node][0]
                 (small if n <= small_rows else large).setdefault(unit, []).append(node)
         if not small and not large:
             return sketches
@@ -564,6 +728,7 @@ def grow(data: Matrix, rows: DataFrame, job: Job, growth: Growth, small_rows: in
 # ---------------------------------------------------------------- models
 
 _PREDICTED = "scenario int, row_id long, y double, prediction double"
+_SCORED = "row_id long, x binary, roles binary, y double, scores binary"
 
 
 def _named(data: Matrix, predicted: DataFrame) -> DataFrame:
@@ -583,27 +748,97 @@ def _predicted(batch_rows: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]])
 def forest_predictions(data: Matrix, trees: int, growth: Growth) -> DataFrame:
     """Of every test row of every scenario, by a forest of its train rows: mean of the leaves, or the likeliest label."""
     job = Bootstraps(len(data.scenarios), trees, len(data.labels), growth.seed)
-    shares = (lambda s: s[1:] / max(s[0], 1e-300)) if data.labels else (lambda s: s[1] / max(s[0], 1e-300))
-    nothing = np.zeros(1 + job.scored)
-    grown = {}
-    for unit, sketch in grow(data, data.rows, job, growth).items():
-        sketch.sums[0] = nothing if sketch.sums[0] is None else sketch.sums[0]
-        grown[unit] = sketch.tree(growth, shares)
-    shared = data.rows.sparkSession.sparkContext.broadcast(grown)
+    wide = data.features if growth.drawn is None else min(growth.drawn, data.features)
+    # Rows travel and are sorted four times over; a level holds some fourteen numbers of each row and drawn feature.
+    if whole.fits(data.most, 4 * (data.features + 25) + 112 * wide):
+        return _named(data, _forest_in_tasks(data, job, trees, growth))
+    return _named(data, _forest_by_votes(data, job, trees, growth))
+
+
+def _voted(sums: np.ndarray, trees: int, classes: int) -> np.ndarray:
+    mean = sums / trees
+    return np.round(mean, 9).argmax(axis=1) if classes else mean[:, 0]
+
+
+def _forest_in_tasks(data: Matrix, job: Bootstraps, trees: int, growth: Growth) -> DataFrame:
+    """Each group of trees of a scenario is grown in a task with the scenario's rows, which adds up their votes for its test rows."""
+    classes = job.classes
+
+    def fit(group: tuple, row_id: np.ndarray, x: np.ndarray, role: np.ndarray, y: np.ndarray) -> Iterator[pa.RecordBatch]:
+        scenario, first, count = group
+        train, test = np.flatnonzero(role == 1), np.flatnonzero(role == 2)
+        x_train, x_test, y_train, votes = x[train], x[test], y[train], np.zeros((len(test), job.scored))
+        for unit in range(scenario * trees + first, scenario * trees + first + count):
+            weight = job.weights(unit, row_id[train])
+            own = np.flatnonzero(weight)
+            if classes and growth.leaves is None:
+                tree = grow_labels(x_train[own], y_train[own].astype(np.int64), weight[own].astype(float), classes, growth, unit)
+            else:
+                stats = job.stats(np.stack([weight[own], y_train[own]], axis=1).astype(np.float32))
+                tree = grow_here(x_train[own], stats, growth, unit, job.scored).tree(growth, _shares(classes))
+            votes += tree.values(x_test)
+        for part in range(0, len(test), ROWS_A_BLOCK):
+            own = slice(part, part + ROWS_A_BLOCK)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v], k) for v, k in zip((scenario, part, first, row_id[test][own].tobytes(), y[test][own].tobytes(), votes[own].tobytes()),
+                                                  (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
+                ["scenario", "part", "first", "row_id", "y", "votes"])
+
+    def summed(blocks: pa.Table) -> pa.Table:
+        blocks = blocks.sort_by("first").to_pylist()
+        row_id, y = np.frombuffer(blocks[0]["row_id"], "<i8"), np.frombuffer(blocks[0]["y"], "<f8")
+        votes = sum(np.frombuffer(b["votes"], "<f8") for b in blocks).reshape(len(y), -1)
+        return pa.Table.from_batches([_predicted([(blocks[0]["scenario"], row_id, y, _voted(votes, trees, classes))])])
+
+    tasks = GROUPS_A_CORE * data.rows.sparkSession.sparkContext.defaultParallelism
+    groups = whole.dealt(data.trained.tolist(), trees, tasks)
+    votes = whole.in_tasks(data.rows, groups, "u1", fit, "scenario int, part int, first int, row_id binary, y binary, votes binary")
+    return cut_lineage(cut_lineage(votes).groupBy("scenario", "part").applyInArrow(summed, _PREDICTED))
+
+
+def _shares(classes: int):
+    return (lambda s: s[1:] / max(s[0], 1e-300)) if classes else (lambda s: s[1] / max(s[0], 1e-300))
+
+
+def _forest_by_votes(data: Matrix, job: Bootstraps, trees: int, growth: Growth) -> DataFrame:
+    """A few trees are grown at a time and their votes are added to the rows; how many depends on the nodes that the last ones had."""
+    count, classes, context = len(data.scenarios), job.classes, data.rows.sparkSession.sparkContext
+    units, at_once, value, nothing = job.units, 1, _shares(classes), np.zeros(1 + job.scored)
+    rows = data.rows.withColumn("scores", F.lit(np.zeros(count * job.scored).tobytes()))
+    while units:
+        job.units, units = units[:at_once], units[at_once:]
+        grown, nodes = {}, 1
+        for unit, sketch in grow(data, data.rows, job, growth).items():
+            sketch.sums[0] = nothing if sketch.sums[0] is None else sketch.sums[0]
+            grown[unit], nodes = sketch.tree(growth, value), max(nodes, len(sketch.feature))
+        shared = context.broadcast(grown)
+        rows = cut_lineage(_with_votes(rows, shared, trees, job.scored))
+        shared.destroy()
+        at_once = max(1, min(FASTER * at_once, NODES_HELD // nodes))
 
     def predict(batches):
         for batch in batches:
-            block, found = Block.of(batch), []
-            for s in range(len(data_scenarios)):
-                rows = np.flatnonzero(block.roles[:, s] == 2)
-                if len(rows):
-                    x = block.x[rows]
-                    mean = sum(shared.value[s * trees + t].values(x) for t in range(trees)) / trees
-                    found.append((s, block.row_id[rows], block.y[rows], np.round(mean, 9).argmax(axis=1) if classes else mean[:, 0]))
+            block, found = Block.of(batch, "<f8"), []
+            votes = block.scores.reshape(len(block.y), count, -1)
+            for s in range(count):
+                own = np.flatnonzero(block.roles[:, s] == 2)
+                found.append((s, block.row_id[own], block.y[own], _voted(votes[own, s], trees, classes)))
             yield _predicted(found)
 
-    data_scenarios, classes = data.scenarios, len(data.labels)
-    return _named(data, data.rows.mapInArrow(predict, _PREDICTED))
+    return rows.mapInArrow(predict, _PREDICTED)
+
+
+def _with_votes(rows: DataFrame, grown, trees: int, wide: int) -> DataFrame:
+    def add(batches):
+        for batch in batches:
+            block = Block.of(batch, "<f8")
+            votes = block.scores.reshape(len(block.y), -1, wide).copy()
+            for unit, tree in grown.value.items():
+                own = np.flatnonzero(block.roles[:, unit // trees] == 2)
+                votes[own, unit // trees] += tree.values(block.x[own])
+            yield _with_scores(batch, votes)
+
+    return rows.mapInArrow(add, _SCORED)
 
 
 def boosted_predictions(data: Matrix, rounds: int, rate: float, growth: Growth) -> DataFrame:
@@ -618,11 +853,13 @@ def boosted_predictions(data: Matrix, rounds: int, rate: float, growth: Growth)
         start = np.log(share / (1 - share))
     else:
         start = np.log(np.maximum(share, 1e-12)) if classes else share
-    first = start.astype("<f4").reshape(count * wide).tobytes()
-    rows, kept = data.rows.withColumn("scores", F.lit(first)), []
     # A Newton step of the log loss, (K - 1) / K for K scores; the mean of what is missed for the squared loss.
     shrink = (classes - 1) / classes if wide > 1 else 1.0
     value = (lambda s: shrink * s[1] / s[2] if s[2] > 1e-150 else 0.0) if classes else (lambda s: s[1] / s[0] if s[0] else 0.0)
+    start = start.astype("<f4").reshape(count, wide)
+    if whole.fits(data.most, 5 * (data.features + 25) + 64 * (1 + wide)):
+        return _named(data, _boosted_in_tasks(data, start, Residuals(count, classes, rate, []), rounds, growth, value))
+    rows, kept = data.rows.withColumn("scores", F.lit(start.tobytes())), []
     for _ in range(rounds):
         grown = grow(data, rows, Residuals(count, classes, rate, kept), growth)
         kept = [*kept, {u: sketch.tree(growth, value) for u, sketch in grown.items() if sketch.sums[0] is not None}]
@@ -636,22 +873,40 @@ def boosted_predictions(data: Matrix, rounds: int, rate: float, growth: Growth)
             scores = shared.value.advanced(block)
             for s in range(count):
                 own = np.flatnonzero(block.roles[:, s] == 2)
-                mine = scores[own, s]
-                likely = mine[:, 0] if not classes else mine[:, 0] > 0 if wide == 1 and classes == 2 else mine.argmax(axis=1)
-                found.append((s, block.row_id[own], block.y[own], likely))
+                found.append((s, block.row_id[own], block.y[own], shared.value.likely(scores[own, s])))
             yield _predicted(found)
 
     return _named(data, rows.mapInArrow(predict, _PREDICTED))
 
 
+def _boosted_in_tasks(data: Matrix, start: np.ndarray, job: Residuals, rounds: int, growth: Growth, value) -> DataFrame:
+    """All rounds of a scenario in a task with its rows."""
+    def fit(group: tuple, row_id: np.ndarray, x: np.ndarray, role: np.ndarray, y: np.ndarray) -> Iterator[pa.RecordBatch]:
+        s, train, test = group[0], np.flatnonzero(role == 1), np.flatnonzero(role == 2)
+        x_train = np.asfortranarray(x[train])
+        scores = np.tile(start[s], (len(y), 1))
+        for _ in range(rounds if len(train) else 0):
+            missed, curved = job.missing(scores[train][:, None, :], y[train])
+            for k in range(job.wide):
+                stats = job.stats(np.stack([np.ones(len(train)), missed[:, 0, k], curved[:, 0, k]], axis=1).astype(np.float32))
+                tree = grow_here(x_train, stats, growth, s * job.wide + k, job.scored).tree(growth, value)
+                scores[:, k] += np.float32(job.rate) * tree.values(x)[:, 0]
+        yield _predicted([(s, row_id[test], y[test], job.likely(scores[test]))])
+
+    groups = sorted(((s,) for s in range(len(data.scenarios))), key=lambda g: -data.trained[g[0]])
+    return cut_lineage(whole.in_tasks(data.rows, groups, "u1", fit, _PREDICTED))
+
+
 def _advanced(rows: DataFrame, job: Residuals) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(job)
 
     def advance(batches):
         for batch in batches:
-            scores = shared.value.advanced(Block.of(batch)).reshape(batch.num_rows, -1)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("row_id", "x", "roles", "y")), pa.array([s.tobytes() for s in scores], pa.binary())],
-                ["row_id", "x", "roles", "y", "scores"])
+            yield _with_scores(batch, shared.value.advanced(Block.of(batch)))
+
+    return rows.mapInArrow(advance, _SCORED)
+
 
-    return rows.mapInArrow(advance, "row_id long, x binary, roles binary, y double, scores binary")
+def _with_scores(batch: pa.RecordBatch, scores: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("row_id", "x", "roles", "y")), pa.array([s.tobytes() for s in scores], pa.binary())],
+                                      ["row_id", "x", "roles", "y", "scores"])
