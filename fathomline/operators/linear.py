@@ -29,8 +29,9 @@ MEMORY = 10
 LANDMARKS, NO_EIGENVALUE = 256, 1e-10
 #: With more partitions than this, partial sums are added by Spark before they reach the driver.
 PARTIALS = 16
-#: Rows that an optimiser in a task takes at once, and bytes of what it makes of them that it keeps between its steps.
-ROWS_AT_ONCE, KEPT_BYTES = 8192, 1 << 27
+#: Rows that an optimiser in a task takes at once, as few as stay in a core's cache, and bytes of what it makes of them that it
+#: keeps between its steps.
+ROWS_AT_ONCE, KEPT_BYTES = 512, 3 << 26
 SEED = 42
 
 
@@ -395,8 +396,11 @@ def kernel_predictions(placed: DataFrame, count: int = LANDMARKS, cost: float =
     context = data.rows.sparkSession.sparkContext
 
     def kernel(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        apart = (x ** 2).sum(axis=1)[:, None] + (y ** 2).sum(axis=1)[None, :] - 2 * x @ y.T
-        return np.exp(-gamma * np.maximum(apart, 0))
+        apart = (x ** 2).sum(axis=1)[:, None] + (y ** 2).sum(axis=1)[None, :]
+        apart -= 2 * x @ y.T
+        np.maximum(apart, 0, out=apart)
+        apart *= -gamma
+        return np.exp(apart, out=apart)
 
     maps = []
     for s in range(len(data.scenarios)):

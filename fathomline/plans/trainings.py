@@ -8,21 +8,19 @@ from pyspark.sql import functions as F
 from fathomline.operators import evaluation, folds, models
 from fathomline.plans import rollups, views
 from fathomline.plans.comparisons import FRACTIONS, SEEDS
+from fathomline.session import cut_lineage
 from fathomline.sources import tables
 
 SERIES_CITIES = ["NATION_1", "NATION_7", "NATION_19"]
 
 
-def _cross_validation(spark: SparkSession, folder: str) -> DataFrame:
-    return models.cross_validation(tables.quality_features(spark, folder), models.classifiers(), "quality")
-
-
 def bench_table(spark: SparkSession, folder: str) -> DataFrame:
     """Mean and deviation of the accuracy of five models over 5 folds and 2 repeats."""
-    features = tables.quality_features(spark, folder)
+    features = cut_lineage(tables.quality_features(spark, folder))  # the texts are read once
     shape = features.agg(F.count(F.lit(1)).alias("n_samples"), F.max(F.size("features")).alias("n_features"),
                          F.count_distinct("label").alias("n_classes"))
-    return evaluation.score_summary(_cross_validation(spark, folder), ["dataset", "model"]).withColumns(
+    scores = models.cross_validation(features, models.classifiers(), "quality")
+    return evaluation.score_summary(scores, ["dataset", "model"]).withColumns(
         {c: shape.select(c).scalar() for c in ("n_samples", "n_features", "n_classes")})
 
 
@@ -43,7 +41,8 @@ def holdout_best(spark: SparkSession, folder: str) -> DataFrame:
 def learning_curve(spark: SparkSession, folder: str) -> DataFrame:
     """Four models, six train sizes, five seeds on one fixed hold-out."""
     chosen = {name: build for name, build in models.classifiers(models.CURVE_TREES).items() if name != "GBDT"}
-    curve = models.learning_curve(tables.quality_features(spark, folder), chosen, "quality", FRACTIONS, SEEDS)
+    features = cut_lineage(tables.quality_features(spark, folder))
+    curve = models.learning_curve(features, chosen, "quality", FRACTIONS, SEEDS)
     return curve.withColumns({c: F.round(c, 4) for c in ("mean", "std")})
 
 

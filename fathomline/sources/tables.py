@@ -103,18 +103,22 @@ def embedding_features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quality_features(spark: SparkSession, folder: str) -> DataFrame:
-    """Document quality labels with simple counts of the text as features; shares of an empty text are 0."""
-    text = F.col("text")
-    words = F.size(F.split(text, r"\s+"))
-    counts = [F.length(text), words, F.try_divide(F.length(text), words),
-              F.try_divide(F.length(F.regexp_replace(text, r"[^.,;:!?]", "")), F.length(text)),
-              F.try_divide(F.length(F.regexp_replace(text, r"[^0-9]", "")), F.length(text)),
-              F.try_divide(F.length(F.regexp_replace(text, r"[^A-Z]", "")), F.length(text)),
-              F.try_divide(F.length(F.regexp_replace(text, r"[^\n]", "")), words),
-              F.try_divide(F.length(F.regexp_replace(text, r"[\p{L}\p{N}\s]", "")), F.length(text))]
-    return (table(spark, folder, "labels").join(table(spark, folder, "documents"), "doc_id")
-            .select(F.col("doc_id").alias("row_id"), F.col("quality").alias("label"),
-                    F.array(*[F.coalesce(c.cast("double"), F.lit(0.0)) for c in counts]).alias("features")))
+    """Document quality labels with simple counts of the text as features; shares of an empty text are 0.
+
+    Characters of a kind are counted by what is left without them, as few match.
+    """
+    def held(kind: str) -> Column:
+        return F.col("length") - F.length(F.regexp_replace("text", kind, ""))
+
+    counts = {"length": F.length("text"), "words": F.size(F.split("text", r"\s+"))}
+    kinds = {"points": held("[.,;:!?]"), "digits": held("[0-9]"), "capitals": held("[A-Z]"), "lines": held(r"\n"),
+             "others": held(r"[^\p{L}\p{N}\s]+")}
+    labelled = table(spark, folder, "labels").join(table(spark, folder, "documents"), "doc_id")
+    features = [F.col("length"), F.col("words"), *[F.try_divide(of, by) for of, by in (
+        ("length", "words"), ("points", "length"), ("digits", "length"), ("capitals", "length"), ("lines", "words"), ("others", "length"))]]
+    return labelled.withColumns(counts).withColumns(kinds).select(
+        F.col("doc_id").alias("row_id"), F.col("quality").alias("label"),
+        F.array(*[F.coalesce(c.cast("double"), F.lit(0.0)) for c in features]).alias("features"))
 
 
 def experiment_units(spark: SparkSession, folder: str, price: float = 400000.0, year: int = 1998) -> DataFrame:
